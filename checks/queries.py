@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks import views
-from transferlens.functions.amounts import amounts_of, u256_from_decimal
+from transferlens.functions.amounts import amounts_of, u256_from_long, u256_from_text
 from transferlens.operators.ledger import token_balances
 from transferlens.plans import activity, discovery, holders, tokens
 from transferlens.schema import unknown_chains, with_chain
@@ -69,8 +69,8 @@ def landed_rows(t: DataFrame) -> DataFrame:
 
 
 def wide(t: DataFrame) -> DataFrame:
-    """DECIMAL(38,0) amounts to 256-bit limbs."""
-    return t.withColumn("value", u256_from_decimal(F.col("value")))
+    """The derived amounts, which fit a BIGINT, as 256-bit amounts."""
+    return t.withColumn("value", u256_from_long(F.col("value").cast("bigint")))
 
 
 # Jobs -----------------------------------------------------------------------------------------------
@@ -118,7 +118,8 @@ def sanitize_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def oversize_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transfer_source.oversize_audit(wide(_untidy(spark, sf_dir)))
+    t = _untidy(spark, sf_dir)
+    return transfer_source.oversize_audit(t.withColumn("value", u256_from_text(F.col("value").cast("string"))))
 
 
 def write_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,7 +153,7 @@ def replace_last_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     middle = chain.agg((F.max("block_number") / 2).cast("bigint").alias("b")).scalar()
     block, log = F.col("block_number"), F.col("log_index")
     transfer_source.write_transfers(chain.filter((block < middle) | ((block == middle) & (log == 0))), path)
-    transfer_source.replace_last_block(spark, path, chain, amounts="decimal38")
+    transfer_source.replace_last_block(spark, path, chain, 130, amounts="decimal38")
     return landed_rows(transfer_source.read_transfers(spark, path, 130, amounts="decimal38"))
 
 

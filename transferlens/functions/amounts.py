@@ -2,15 +2,15 @@
 
 Two column types hold an amount:
 
-``decimal38``  DECIMAL(38,0). The fast form, for data known to fit 38 digits. Overflow raises.
-``u256``       STRUCT<l0, l1, l2> of DECIMAL(28,0), base 10^26, most significant limb first.
-               Covers 0 .. 2^256-1 (78 digits = 3 x 26).
-
-A limb is below 10^26 and its sum is typed DECIMAL(38,0), so one group can add up 10^12 amounts of any
-size before the limb sums need a carry; a sum beyond that raises instead of wrapping. Limb sums carry
-once, after the aggregate, so map-side partial aggregation and whole-stage codegen stay in place.
-A signed amount keeps its sign in ``l0``; the lower limbs are always in 0 .. 10^26-1, which makes struct
-comparison the numeric order.
+``decimal38``  DECIMAL(38,0), for data known to fit 38 digits. Overflow raises.
+``u256``       STRUCT<w0 .. w4> of BIGINT, most significant word first: w1 to w4 hold 60 bits each and w0
+               the top 16 bits of 0 .. 2^256-1.
+
+A 256-bit sum adds 13 slices of 20 bits as BIGINT sums and carries once, after the aggregate. So it stays
+in whole-stage code and in a hash aggregate with partial sums (wide decimal sums allocate big numbers per
+row and are many times slower), and one group can add up 8 x 10^12 amounts of any size before a slice sum
+would overflow, which raises instead of wrapping. A signed amount keeps its sign in ``w0``; the other
+words stay in 0 .. 2^60-1, so struct comparison is the numeric order.
 """
 
 from __future__ import annotations
@@ -19,60 +19,87 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BASE_DIGITS = 26
-BASE = 10**BASE_DIGITS
-LIMB = T.DecimalType(28, 0)
+WORDS = 5
+WORD_BITS = 60
+SLICE_BITS = 20
+DIGITS = 78
 DECIMAL38 = T.DecimalType(38, 0)
-U256 = T.StructType([T.StructField(name, LIMB) for name in ("l0", "l1", "l2")])
+U256 = T.StructType([T.StructField(f"w{i}", T.LongType()) for i in range(WORDS)])
 
 
-def _number(n: int, dtype: T.DataType) -> Column:
-    return F.lit(str(n)).cast(dtype)
+def _big(n: int) -> Column:
+    return F.lit(n).cast("bigint")
 
 
-def _base() -> Column:
-    return _number(BASE, T.DecimalType(27, 0))
+def _decimal(n: int) -> Column:
+    return F.lit(str(n)).cast(T.DecimalType(len(str(n)), 0))
 
 
-def _carry(high: Column, middle: Column, low: Column) -> Column:
-    """Normalise three limb sums. ``pmod`` keeps lower limbs non-negative, the carry is floor division."""
-    l2 = F.pmod(low, _base())
-    middle = middle + F.call_function("div", low - l2, _base())
-    l1 = F.pmod(middle, _base())
-    high = high + F.call_function("div", middle - l1, _base())
-    return F.struct(high.cast(DECIMAL38).alias("l0"), l1.cast(LIMB).alias("l1"), l2.cast(LIMB).alias("l2"))
+def _low_bits(number: Column, bits: int) -> Column:
+    """Also of negative numbers: two's complement makes this the floor remainder."""
+    return number.bitwiseAND(_big(2**bits - 1))
 
 
-def u256_from_text(text: Column) -> Column:
-    """Decimal digits to ``u256``; more than 78 digits raise."""
-    digits = F.when(F.length(text) > 3 * BASE_DIGITS, F.raise_error(F.lit("amount has more than 78 digits"))).otherwise(
-        F.lpad(text, 3 * BASE_DIGITS, "0")
-    )
-    return F.struct(
-        *(F.substring(digits, 1 + i * BASE_DIGITS, BASE_DIGITS).cast(LIMB).alias(f"l{i}") for i in range(3))
-    )
+def _words(value: Column) -> list[Column]:
+    return [value[f"w{i}"] for i in range(WORDS)]
+
+
+def _amount(words: list[Column]) -> Column:
+    return F.struct(*(word.cast("bigint").alias(f"w{i}") for i, word in enumerate(words)))
+
+
+def _carried(parts: list[Column], bits: int) -> list[Column]:
+    """Carry parts of ``bits`` bits (most significant first) upwards; the first part takes the rest."""
+    result, carry = [], None
+    for part in reversed(parts[1:]):
+        value = part if carry is None else part + carry
+        result.append(_low_bits(value, bits))
+        carry = F.shiftright(value, bits)
+    return [parts[0] + carry, *reversed(result)]
+
+
+def _join_bits(parts: list[Column], bits: int) -> Column:
+    joined = parts[-1]
+    for place, part in enumerate(reversed(parts[:-1]), start=1):
+        joined = joined + F.shiftleft(part, place * bits)
+    return joined
 
 
 def u256_from_hex(digits: Column) -> Column:
-    """64 hex digits (no prefix) to ``u256``.
+    """64 hex digits without a prefix."""
+    starts = [(1, 4), (5, 15), (20, 15), (35, 15), (50, 15)]
+    return _amount([F.conv(F.substring(digits, start, size), 16, 10) for start, size in starts])
 
-    Each 32-bit word times its power of two, split into limbs, is a plain decimal dot product: at most
-    8 x 2^32 x 10^26 < 10^38 per limb, so a single carry at the end is enough.
-    """
-    sums: list[Column | None] = [None, None, None]
-    for word in range(8):
-        bits = F.conv(F.substring(digits, 1 + 8 * word, 8), 16, 10).cast(T.DecimalType(10, 0))
-        weight = 2 ** (32 * (7 - word))
-        for limb, part in enumerate((weight // BASE**2, weight // BASE % BASE, weight % BASE)):
-            if part:
-                term = (bits * _number(part, T.DecimalType(27, 0))).cast(DECIMAL38)
-                sums[limb] = term if sums[limb] is None else (sums[limb] + term).cast(DECIMAL38)
-    limbs = _carry(*sums)
-    return F.struct(*(limbs[f"l{i}"].cast(LIMB).alias(f"l{i}") for i in range(3)))
 
+def u256_from_long(number: Column) -> Column:
+    """Non-negative BIGINT."""
+    zero = _big(0)
+    return _amount([zero, zero, zero, F.shiftright(number, WORD_BITS), _low_bits(number, WORD_BITS)])
 
-def u256_from_decimal(value: Column) -> Column:
-    return u256_from_text(value.cast(DECIMAL38).cast("string"))
+
+def u256_from_text(text: Column) -> Column:
+    """Decimal digits; more than 78 of them raise.
+
+    Three groups of 26 digits are split into 30-bit parts and multiplied by the parts of 10^52, 10^26 and
+    1. At most six products of 60 bits meet in one place, which a BIGINT holds, so one carry is enough.
+    """
+    too_long = F.raise_error(F.lit(f"amount has more than {DIGITS} digits"))
+    padded = F.when(F.length(text) > DIGITS, too_long).otherwise(F.lpad(text, DIGITS, "0"))
+    bits, places = 30, 9
+    sums: list[Column] = [_big(0)] * places
+    for group in range(3):
+        number = F.substring(padded, 1 + 26 * group, 26).cast(T.DecimalType(26, 0))
+        high = F.call_function("div", number, _decimal(2**60))
+        low = (number % _decimal(2**60)).cast("bigint")
+        parts = [_low_bits(low, bits), F.shiftright(low, bits), high]
+        scale = 10 ** (26 * (2 - group))
+        for shift in range(places):
+            factor = scale >> (bits * shift) & (2**bits - 1)
+            if factor:
+                for place, part in enumerate(parts):
+                    sums[shift + place] = sums[shift + place] + part * _big(factor)
+    limbs = _carried(list(reversed(sums)), bits)
+    return _amount([limbs[0], *(_join_bits(limbs[i : i + 2], bits) for i in range(1, places, 2))])
 
 
 class DecimalAmounts:
@@ -82,7 +109,7 @@ class DecimalAmounts:
         return F.sum(value.cast(DECIMAL38)).cast(DECIMAL38)
 
     def zero(self) -> Column:
-        return _number(0, DECIMAL38)
+        return F.lit(0).cast(DECIMAL38)
 
     def negate(self, value: Column) -> Column:
         return (-value).cast(DECIMAL38)
@@ -90,12 +117,16 @@ class DecimalAmounts:
     def only_if(self, condition: Column, value: Column) -> Column:
         return F.when(condition, value).otherwise(self.zero())
 
-    def subtract(self, left: Column, right: Column) -> Column:
-        return (left - right).cast(DECIMAL38)
+    def net(self, received: Column, sent: Column, value: Column) -> Column:
+        """The change one transfer makes to an account that received it, sent it, or did both."""
+        return (self.only_if(received, value) - self.only_if(sent, value)).cast(DECIMAL38)
 
     def positive(self, value: Column) -> Column:
         return value > 0
 
+    def exceeds(self, value: Column, bound: int) -> Column:
+        return value > _decimal(bound)
+
     def to_double(self, value: Column) -> Column:
         return value.cast("double")
 
@@ -112,66 +143,118 @@ class DecimalAmounts:
 
 
 class U256Amounts:
-    """Operations on three-limb amounts."""
+    """Operations on five-word amounts."""
+
+    def _slice_sums(self, value: Column) -> list[Column]:
+        top, *words = _words(value)
+        slices = [top]
+        for word in words:
+            slices += [
+                F.shiftright(word, 2 * SLICE_BITS),
+                _low_bits(F.shiftright(word, SLICE_BITS), SLICE_BITS),
+                _low_bits(word, SLICE_BITS),
+            ]
+        return [F.sum(part) for part in slices]
+
+    def _from_slice_sums(self, sums: list[Column]) -> Column:
+        slices = _carried(sums, SLICE_BITS)
+        return _amount([slices[0], *(_join_bits(slices[i : i + 3], SLICE_BITS) for i in range(1, 13, 3))])
 
     def total(self, value: Column) -> Column:
-        return _carry(*(F.sum(value[f"l{i}"]).cast(DECIMAL38) for i in range(3)))
+        return self._from_slice_sums(self._slice_sums(value))
 
     def zero(self) -> Column:
-        return F.struct(
-            _number(0, DECIMAL38).alias("l0"), _number(0, LIMB).alias("l1"), _number(0, LIMB).alias("l2")
-        )
+        return _amount([_big(0)] * WORDS)
 
     def negate(self, value: Column) -> Column:
-        # Left unnormalised: it only feeds total(), which carries.
-        return F.struct(*((-value[f"l{i}"]).cast(LIMB).alias(f"l{i}") for i in range(3)))
+        """Negated words, left for ``total`` to carry."""
+        return _amount([-word for word in _words(value)])
 
     def only_if(self, condition: Column, value: Column) -> Column:
-        zero = _number(0, LIMB)
-        return F.struct(*(F.when(condition, value[f"l{i}"]).otherwise(zero).alias(f"l{i}") for i in range(3)))
+        return _amount([F.when(condition, word).otherwise(_big(0)) for word in _words(value)])
 
-    def subtract(self, left: Column, right: Column) -> Column:
-        return _carry(*(left[f"l{i}"].cast(DECIMAL38) - right[f"l{i}"].cast(DECIMAL38) for i in range(3)))
+    def net(self, received: Column, sent: Column, value: Column) -> Column:
+        """The change one transfer makes to an account, left for ``total`` to carry."""
+        into, out = self.only_if(received, value), self.only_if(sent, value)
+        return _amount([a - b for a, b in zip(_words(into), _words(out))])
 
     def positive(self, value: Column) -> Column:
-        l0, l1, l2 = (value[f"l{i}"] for i in range(3))
-        return (l0 > 0) | ((l0 == 0) & ((l1 > 0) | (l2 > 0)))
+        top, *words = _words(value)
+        lower = words[0].bitwiseOR(words[1]).bitwiseOR(words[2]).bitwiseOR(words[3])
+        return (top > 0) | ((top == 0) & (lower > 0))
+
+    def exceeds(self, value: Column, bound: int) -> Column:
+        words = [bound >> WORD_BITS * (WORDS - 1 - i) for i in range(WORDS)]
+        return value > _amount([_big(words[0]), *(_big(word % 2**WORD_BITS) for word in words[1:])])
 
     def to_double(self, value: Column) -> Column:
-        l0, l1, l2 = (value[f"l{i}"].cast("double") for i in range(3))
-        return l0 * F.lit(float(BASE**2)) + l1 * F.lit(float(BASE)) + l2
+        result = None
+        for place, word in enumerate(reversed(_words(value))):
+            term = word.cast("double") * F.lit(2.0 ** (WORD_BITS * place))
+            result = term if result is None else result + term
+        return result
 
     def to_text(self, value: Column) -> Column:
-        negative = value["l0"] < 0
-        size = F.when(negative, _carry(*(-value[f"l{i}"] for i in range(3)))).otherwise(
-            _carry(*(value[f"l{i}"] for i in range(3)))
-        )
-        digits = F.concat(
-            size["l0"].cast("string"),
-            F.lpad(size["l1"].cast("string"), BASE_DIGITS, "0"),
-            F.lpad(size["l2"].cast("string"), BASE_DIGITS, "0"),
-        )
-        return F.concat(F.when(negative, "-").otherwise(""), F.regexp_replace(digits, "^0+(?!$)", ""))
+        """Decimal digits. Words times powers of two add up in base 10^18, each sum below 10^38."""
+        negative = value["w0"] < 0
+        words = [F.when(negative, -word).otherwise(word) for word in _words(value)]
+        words = _carried(words, WORD_BITS)
+        base = 10**18
+        sums = []
+        for limb in range(5):
+            terms = [
+                (word.cast(T.DecimalType(19, 0)) * _decimal(2 ** (WORD_BITS * (4 - i)) // base**limb % base)).cast(
+                    DECIMAL38
+                )
+                for i, word in enumerate(words)
+            ]
+            sums.append(sum(terms[1:], terms[0]).cast(DECIMAL38))
+        digits = []
+        for limb, number in enumerate(sums):
+            if limb:
+                number = (number + carry.cast(T.DecimalType(19, 0))).cast(DECIMAL38)
+            digits.insert(0, F.lpad((number % _decimal(base)).cast("string"), 18, "0"))
+            carry = F.call_function("div", number, _decimal(base))
+        text = F.regexp_replace(F.concat(carry.cast("string"), *digits), "^0+(?!$)", "")
+        return F.concat(F.when(negative, "-").otherwise(""), text)
 
     def summary(self, t: DataFrame, keys: list[str]) -> DataFrame:
         """Per key: ``transfer_count``, ``total_volume``, ``largest_transfer``.
 
-        ``max`` over a struct has no mutable buffer and would fall back to sort aggregation of every
-        transfer. Grouping by the two upper limbs first keeps the wide step in a hash aggregate (they
-        take few values per token); the struct maximum then sees only those groups.
+        ``max`` over a struct has no mutable buffer and would sort every transfer. Grouping by the three
+        upper words first (zero for amounts below 2^120, so one group per key in practice) leaves a
+        DECIMAL maximum and keeps the wide step in a hash aggregate; the struct maximum sees only groups.
         """
         value = F.col("value")
-        upper = t.groupBy(*keys, value["l0"].alias("h0"), value["l1"].alias("h1")).agg(
+        lower = (
+            value["w3"].cast(T.DecimalType(19, 0)) * _decimal(2**WORD_BITS) + value["w4"].cast(T.DecimalType(19, 0))
+        ).cast(DECIMAL38)
+        upper = [f"w{i}" for i in range(3)]
+        sums = {f"s{i}": part for i, part in enumerate(self._slice_sums(value))}
+        groups = t.groupBy(*keys, *(value[w].alias(w) for w in upper)).agg(
             F.count(F.lit(1)).alias("n"),
-            *(F.sum(value[f"l{i}"]).cast(DECIMAL38).alias(f"s{i}") for i in range(3)),
-            F.max(value["l2"]).alias("h2"),
+            F.max(lower).alias("lower"),
+            *(part.alias(name) for name, part in sums.items()),
         )
-        return upper.groupBy(*keys).agg(
-            F.sum("n").alias("transfer_count"),
-            _carry(*(F.sum(f"s{i}").cast(DECIMAL38) for i in range(3))).alias("total_volume"),
-            F.max(F.struct(F.col("h0").alias("l0"), F.col("h1").alias("l1"), F.col("h2").alias("l2"))).alias(
-                "largest_transfer"
-            ),
+        highest = F.max(F.struct(*upper, "lower"))
+        return (
+            groups.groupBy(*keys)
+            .agg(
+                F.sum("n").alias("transfer_count"),
+                self._from_slice_sums([F.sum(name) for name in sums]).alias("total_volume"),
+                highest.alias("highest"),
+            )
+            .withColumn(
+                "largest_transfer",
+                _amount(
+                    [
+                        *(F.col("highest")[w] for w in upper),
+                        F.call_function("div", F.col("highest")["lower"], _decimal(2**WORD_BITS)),
+                        F.col("highest")["lower"] % _decimal(2**WORD_BITS),
+                    ]
+                ),
+            )
+            .drop("highest")
         )
 
 

@@ -16,7 +16,8 @@ def with_metadata(df: DataFrame, m: DataFrame, *columns: str, missing: str = "nu
     by ``autoBroadcastJoinThreshold``, and beyond it a merge join reuses the partitioning that the
     aggregate by token already has. ``missing="default"`` gives '' and 0 where a token is unknown.
     """
-    joined = df.join(m.select(KEY, *columns), KEY, "left")
+    measures = [c for c in df.columns if c != KEY]
+    joined = df.join(m.select(KEY, *columns), KEY, "left").select(KEY, *columns, *measures)
     if missing == "default":
         for name in columns:
             blank = F.lit("") if name in ("name", "symbol") else F.lit(0)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from transferlens.functions import periods
 from transferlens.functions.amounts import DecimalAmounts, U256Amounts, amounts_of
 from transferlens.functions.counting import distinct, transfers
+from transferlens.operators.distinct_aggregate import aggregate_with_distincts
 from transferlens.operators.metadata_join import with_metadata
 from transferlens.operators.ordering import top
 from transferlens.schema import with_chain
@@ -35,26 +36,33 @@ def _with_mean(df: DataFrame, t: DataFrame, count: str, name: str) -> DataFrame:
 
 
 def ecosystem_summary(t: DataFrame, *, approx: bool = False) -> DataFrame:
-    return t.agg(
+    measures = [
         transfers().alias("total_transfers"),
-        distinct("contract_address", approx).alias("unique_tokens"),
-        distinct("from_address", approx).alias("unique_senders"),
-        distinct("to_address", approx).alias("unique_receivers"),
         _total_or_zero(t).alias("total_volume"),
         F.min("block_timestamp").alias("earliest_activity"),
         F.max("block_timestamp").alias("latest_activity"),
+    ]
+    distincts = {
+        "unique_tokens": "contract_address",
+        "unique_senders": "from_address",
+        "unique_receivers": "to_address",
+    }
+    return aggregate_with_distincts(t, [], measures, distincts, approx).select(
+        "total_transfers", *distincts, "total_volume", "earliest_activity", "latest_activity"
     )
 
 
 def top_active_tokens(
     t: DataFrame, m: DataFrame, *, limit: int | None = 20, approx: bool = False, missing: str = "null"
 ) -> DataFrame:
-    tokens = t.groupBy("contract_address").agg(
-        transfers().alias("transfer_count"),
-        distinct("from_address", approx).alias("unique_senders"),
-        distinct("to_address", approx).alias("unique_receivers"),
-        _total(t).alias("total_volume"),
-    )
+    distincts = {"unique_senders": "from_address", "unique_receivers": "to_address"}
+    tokens = aggregate_with_distincts(
+        t,
+        [F.col("contract_address")],
+        [transfers().alias("transfer_count"), _total(t).alias("total_volume")],
+        distincts,
+        approx,
+    ).select("contract_address", "transfer_count", *distincts, "total_volume")
     named = with_metadata(tokens, m, "name", "symbol", missing=missing)
     return top(named, limit, F.desc("transfer_count"), "contract_address")
 
@@ -68,12 +76,14 @@ def daily_activity(
     approx: bool = False,
 ) -> DataFrame:
     recent = periods.last_days(t, days, as_of)
-    daily = recent.groupBy(periods.day_of(t).alias("date")).agg(
-        transfers().alias("daily_transfers"),
-        distinct("contract_address", approx).alias("active_tokens"),
-        distinct("from_address", approx).alias("unique_users"),
-        _total(t).alias("daily_volume"),
-    )
+    distincts = {"active_tokens": "contract_address", "unique_users": "from_address"}
+    daily = aggregate_with_distincts(
+        recent,
+        [periods.day_of(t).alias("date")],
+        [transfers().alias("daily_transfers"), _total(t).alias("daily_volume")],
+        distincts,
+        approx,
+    ).select("date", "daily_transfers", *distincts, "daily_volume")
     return top(daily, limit, F.desc("date"))
 
 
@@ -129,12 +139,14 @@ def trending_tokens(
 
 def monthly_growth(t: DataFrame, *, limit: int | None = 12, approx: bool = False) -> DataFrame:
     day = periods.day_of(t)
-    months = t.groupBy((F.year(day) * 100 + F.month(day)).alias("month")).agg(
-        transfers().alias("monthly_transfers"),
-        distinct("contract_address", approx).alias("active_tokens"),
-        distinct("from_address", approx).alias("active_users"),
-        _total(t).alias("monthly_volume"),
-    )
+    distincts = {"active_tokens": "contract_address", "active_users": "from_address"}
+    months = aggregate_with_distincts(
+        t,
+        [(F.year(day) * 100 + F.month(day)).alias("month")],
+        [transfers().alias("monthly_transfers"), _total(t).alias("monthly_volume")],
+        distincts,
+        approx,
+    ).select("month", "monthly_transfers", *distincts, "monthly_volume")
     return top(months, limit, F.desc("month"))
 
 
@@ -176,16 +188,26 @@ def chain_overview(t: DataFrame, *, approx: bool = False) -> DataFrame:
 
 def token_profile(t: DataFrame, token: str, *, approx: bool = False) -> DataFrame:
     """One row, also for a token without transfers."""
-    profile = t.filter(F.col("contract_address") == token).agg(
+    measures = [
         transfers().alias("total_transfers"),
-        distinct("from_address", approx).alias("unique_senders"),
-        distinct("to_address", approx).alias("unique_receivers"),
         _total_or_zero(t).alias("total_volume"),
         F.min("block_timestamp").alias("first_transfer"),
         F.max("block_timestamp").alias("latest_transfer"),
+    ]
+    distincts = {"unique_senders": "from_address", "unique_receivers": "to_address"}
+    profile = aggregate_with_distincts(
+        t.filter(F.col("contract_address") == token), [], measures, distincts, approx
     )
     average = _mean(amounts_of(t), F.col("total_volume"), F.col("total_transfers"))
-    return profile.withColumn("average_transfer", average)
+    return profile.select(
+        "total_transfers",
+        "unique_senders",
+        "unique_receivers",
+        "total_volume",
+        average.alias("average_transfer"),
+        "first_transfer",
+        "latest_transfer",
+    )
 
 
 def user_activity(t: DataFrame, address: str, *, approx: bool = False) -> DataFrame:

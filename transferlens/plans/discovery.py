@@ -67,15 +67,21 @@ def popular_symbols(
 ) -> DataFrame:
     """Symbols that more than ``min_tokens`` tokens share, with the sorted names of those tokens.
 
-    Counting and picking come first; names are only gathered for the symbols in the result.
+    Counting and picking come first; names are only gathered for the symbols in the result, and equal names
+    are counted before they are gathered.
     """
     named = m.filter(F.col("symbol") != "")
     order = (F.desc("token_count"), "symbol")
     counts = named.groupBy("symbol").agg(F.count(F.lit(1)).alias("token_count"))
     chosen = top(counts.filter(F.col("token_count") > min_tokens), limit, *order)
+    repeated = F.repeat(F.concat("name", F.lit(separator)), F.col("times").cast("int"))
     names = (
         named.join(chosen.select("symbol"), "symbol", "left_semi")
+        .groupBy("symbol", "name")
+        .agg(F.count(F.lit(1)).alias("times"))
         .groupBy("symbol")
-        .agg(F.array_join(F.sort_array(F.collect_list("name")), separator).alias("token_names"))
+        .agg(F.sort_array(F.collect_list(F.struct("name", repeated.alias("text")))).alias("names"))
+        .select("symbol", F.array_join("names.text", "").alias("text"))
+        .select("symbol", F.left("text", F.length("text") - len(separator)).alias("token_names"))
     )
     return chosen.join(names, "symbol").orderBy(*order).select("symbol", "token_count", "token_names")

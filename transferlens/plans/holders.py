@@ -82,10 +82,7 @@ def user_portfolio(
     """Positive balances of one address. A single scan with the address filter pushed down."""
     amounts = amounts_of(t)
     sent, received = F.col("from_address") == address, F.col("to_address") == address
-    value = F.col("value")
-    balance = amounts.subtract(
-        amounts.total(amounts.only_if(received, value)), amounts.total(amounts.only_if(sent, value))
-    )
+    balance = amounts.total(amounts.net(received, sent, F.col("value")))
     tokens = t.filter(sent | received).groupBy("contract_address").agg(balance.alias("balance"))
     held = tokens.filter(amounts.positive(F.col("balance")))
     named = with_metadata(held, m, "name", "symbol", missing=missing)

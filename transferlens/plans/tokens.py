@@ -21,10 +21,9 @@ def volume_leaders(
     t: DataFrame, m: DataFrame, *, limit: int | None = 20, missing: str = "null"
 ) -> DataFrame:
     amounts = amounts_of(t)
-    tokens = amounts.summary(t, ["contract_address"])
-    tokens = tokens.withColumn(
-        "avg_transfer_size",
-        amounts.to_double(F.col("total_volume")) / F.col("transfer_count").cast("double"),
+    mean = amounts.to_double(F.col("total_volume")) / F.col("transfer_count").cast("double")
+    tokens = amounts.summary(t, ["contract_address"]).select(
+        "contract_address", "transfer_count", "total_volume", mean.alias("avg_transfer_size"), "largest_transfer"
     )
     named = with_metadata(tokens, m, "name", "symbol", "decimals", missing=missing)
     return top(named, limit, F.desc("total_volume"), "contract_address")

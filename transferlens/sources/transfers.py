@@ -13,12 +13,13 @@ from transferlens.session import shared_folder
 # Field widths, and the limits of the size audit.
 WIDTHS = {"transaction_hash": 66, "contract_address": 42, "from_address": 42, "to_address": 42}
 AUDIT_CHARS = 100
-AUDIT_VALUE = 1e30
+AUDIT_VALUE = 10**30
 AUDIT_SAMPLE = 50
 
 IDENTITY = ["chain_id", "block_number", "log_index"]
 PARTITIONS = ["chain_id", "block_date"]
 SORT = ["contract_address", "block_number", "log_index"]
+LOOKUPS = ["contract_address", "from_address", "to_address"]
 
 
 def sanitize(t: DataFrame) -> DataFrame:
@@ -41,7 +42,7 @@ def oversize_audit(t: DataFrame) -> DataFrame:
         finding(n, F.length(n) > AUDIT_CHARS, F.length(n), F.substring(n, 1, AUDIT_SAMPLE)) for n in WIDTHS
     ]
     text = amounts.to_text(F.col("value"))
-    found.append(finding("value", amounts.to_double(F.col("value")) > AUDIT_VALUE, F.length(text), text))
+    found.append(finding("value", amounts.exceeds(F.col("value"), AUDIT_VALUE), F.length(text), text))
     return t.select("block_number", "log_index", F.inline(F.array_compact(F.array(*found))))
 
 
@@ -49,8 +50,8 @@ def write_transfers(t: DataFrame, path: str, mode: str = "append") -> None:
     """Land transfers by chain and day, sorted by token and block inside each file.
 
     ``rebalance`` shuffles by partition; adaptive execution then splits hot days and merges small ones, so
-    files have an even size whatever the days look like. The sort gives row groups narrow token ranges and
-    the bloom filter serves point lookups of a token.
+    files have an even size whatever the days look like. The sort gives row groups narrow token ranges, and
+    bloom filters let lookups of one token or one address skip row groups.
     """
     landed = t.withColumns(
         {"block_date": F.to_date("block_timestamp"), "db_write_timestamp": F.current_timestamp()}
@@ -63,7 +64,8 @@ def write_transfers(t: DataFrame, path: str, mode: str = "append") -> None:
         .write.mode(mode)
         .partitionBy(*PARTITIONS)
         .option("partitionOverwriteMode", "dynamic")
-        .option("parquet.bloom.filter.enabled#contract_address", "true")
+        .options(**{f"parquet.bloom.filter.enabled#{name}": "true" for name in LOOKUPS})
+        .option("parquet.bloom.filter.adaptive.enabled", "true")
         .parquet(path)
     )
 
@@ -97,32 +99,26 @@ def replace_from_block(old: DataFrame, new: DataFrame, block: int | None = None)
     return kept.unionByName(new.filter(F.col("block_number") >= last))
 
 
-def replace_last_block(spark: SparkSession, path: str, new: DataFrame, amounts: str = "u256") -> int:
-    """Apply :func:`replace_from_block` to the landed table of the one chain in ``new``.
+def replace_last_block(
+    spark: SparkSession, path: str, new: DataFrame, chain_id: int, amounts: str = "u256"
+) -> int:
+    """Apply :func:`replace_from_block` to one chain of the landed table; returns the resume block.
 
     Only days that lose or gain rows are rewritten. They are staged in the shared folder first, because a
-    path that is being read must not be overwritten, and then replace their partitions dynamically.
-    Returns the block that ingest resumes from.
+    path that is being read must not be overwritten, and then replace their partitions dynamically. ``new``
+    is computed once: the days it touches are read back from the partitions of the staged rows.
     """
-    chains = [row[0] for row in new.select("chain_id").distinct().limit(2).collect()]
-    if not chains:
-        return 0
-    if len(chains) > 1:
-        raise ValueError("replace_last_block takes new rows of one chain")
+    of_chain = F.col("chain_id") == check_chain(chain_id)
     landed = landed_or_none(spark, path, amounts)
-    if landed is None:
-        write_transfers(new, path)
-        return 0
-    old = landed.filter(F.col("chain_id") == chains[0])
-    last = resume_point(old).first()["resume_block"]
-    fresh = new.filter(F.col("block_number") >= last).withColumn("block_date", F.to_date("block_timestamp"))
-    affected = (
-        old.filter(F.col("block_number") == last).select("block_date").union(fresh.select("block_date")).distinct()
-    )
-    kept = old.filter(F.col("block_number") < last).join(affected, "block_date", "left_semi")
+    old = None if landed is None else landed.filter(of_chain)
+    last = 0 if old is None else resume_point(old).first()["resume_block"]
     staged = shared_folder(spark, "staged-days")
-    columns = [f.name for f in transfers_schema(amounts).fields if f.name != "db_write_timestamp"]
-    write_transfers(kept.select(*columns).unionByName(fresh.select(*columns)), staged)
+    write_transfers(new.filter(of_chain & (F.col("block_number") >= last)), staged)
+    if old is not None:
+        days = read_transfers(spark, staged, amounts=amounts).select("block_date")
+        days = days.union(old.filter(F.col("block_number") == last).select("block_date")).distinct()
+        kept = old.filter(F.col("block_number") < last).join(days, "block_date", "left_semi")
+        write_transfers(kept, staged)
     write_transfers(read_transfers(spark, staged, amounts=amounts), path, mode="overwrite")
     return last
 
