@@ -15,6 +15,8 @@ words stay in 0 .. 2^60-1, so struct comparison is the numeric order.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,6 +67,12 @@ def _join_bits(parts: list[Column], bits: int) -> Column:
     return joined
 
 
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once. Without it, each reuse copies the whole expression, and
+    nested reuse grows exponentially. Lambdas leave generated code, so only text conversions use this."""
+    return F.transform(F.array(value), use)[0]
+
+
 def u256_from_hex(digits: Column) -> Column:
     """64 hex digits without a prefix."""
     starts = [(1, 4), (5, 15), (20, 15), (35, 15), (50, 15)]
@@ -86,20 +94,32 @@ def u256_from_text(text: Column) -> Column:
     too_long = F.raise_error(F.lit(f"amount has more than {DIGITS} digits"))
     padded = F.when(F.length(text) > DIGITS, too_long).otherwise(F.lpad(text, DIGITS, "0"))
     bits, places = 30, 9
-    sums: list[Column] = [_big(0)] * places
-    for group in range(3):
-        number = F.substring(padded, 1 + 26 * group, 26).cast(T.DecimalType(26, 0))
-        high = F.call_function("div", number, _decimal(2**60))
-        low = (number % _decimal(2**60)).cast("bigint")
-        parts = [_low_bits(low, bits), F.shiftright(low, bits), high]
-        scale = 10 ** (26 * (2 - group))
-        for shift in range(places):
-            factor = scale >> (bits * shift) & (2**bits - 1)
-            if factor:
-                for place, part in enumerate(parts):
-                    sums[shift + place] = sums[shift + place] + part * _big(factor)
-    limbs = _carried(list(reversed(sums)), bits)
-    return _amount([limbs[0], *(_join_bits(limbs[i : i + 2], bits) for i in range(1, places, 2))])
+
+    def split(digits: Column) -> Column:
+        parts = []
+        for group in range(3):
+            number = F.substring(digits, 1 + 26 * group, 26).cast(T.DecimalType(26, 0))
+            low = (number % _decimal(2**60)).cast("bigint")
+            high = F.call_function("div", number, _decimal(2**60))
+            parts += [_low_bits(low, bits), F.shiftright(low, bits), high]
+        return F.array(*parts)
+
+    def multiply(parts: Column) -> Column:
+        sums: list[Column] = [_big(0)] * places
+        for group in range(3):
+            scale = 10 ** (26 * (2 - group))
+            for shift in range(places):
+                factor = scale >> (bits * shift) & (2**bits - 1)
+                if factor:
+                    for place in range(3):
+                        sums[shift + place] = sums[shift + place] + parts[3 * group + place] * _big(factor)
+        return F.array(*reversed(sums))
+
+    def pack(sums: Column) -> Column:
+        limbs = _carried([sums[i] for i in range(places)], bits)
+        return _amount([limbs[0], *(_join_bits(limbs[i : i + 2], bits) for i in range(1, places, 2))])
+
+    return _bind(_bind(_bind(padded, split), multiply), pack)
 
 
 class DecimalAmounts:
@@ -196,27 +216,38 @@ class U256Amounts:
 
     def to_text(self, value: Column) -> Column:
         """Decimal digits. Words times powers of two add up in base 10^18, each sum below 10^38."""
-        negative = value["w0"] < 0
-        words = [F.when(negative, -word).otherwise(word) for word in _words(value)]
-        words = _carried(words, WORD_BITS)
         base = 10**18
-        sums = []
-        for limb in range(5):
-            terms = [
-                (word.cast(T.DecimalType(19, 0)) * _decimal(2 ** (WORD_BITS * (4 - i)) // base**limb % base)).cast(
-                    DECIMAL38
-                )
-                for i, word in enumerate(words)
-            ]
-            sums.append(sum(terms[1:], terms[0]).cast(DECIMAL38))
-        digits = []
-        for limb, number in enumerate(sums):
-            if limb:
-                number = (number + carry.cast(T.DecimalType(19, 0))).cast(DECIMAL38)
-            digits.insert(0, F.lpad((number % _decimal(base)).cast("string"), 18, "0"))
-            carry = F.call_function("div", number, _decimal(base))
-        text = F.regexp_replace(F.concat(carry.cast("string"), *digits), "^0+(?!$)", "")
-        return F.concat(F.when(negative, "-").otherwise(""), text)
+        narrow = T.DecimalType(19, 0)
+
+        def magnitude(v: Column) -> Column:
+            words = [F.when(v["w0"] < 0, -word).otherwise(word) for word in _words(v)]
+            return F.array(*_carried(words, WORD_BITS))
+
+        def multiply(words: Column) -> Column:
+            sums = []
+            for limb in range(5):
+                total = None
+                for i in range(WORDS):
+                    factor = 2 ** (WORD_BITS * (WORDS - 1 - i)) // base**limb % base
+                    if factor:
+                        term = (words[i].cast(narrow) * _decimal(factor)).cast(DECIMAL38)
+                        total = term if total is None else (total + term).cast(DECIMAL38)
+                sums.append(total)
+            return F.array(*sums)
+
+        def render(sums: Column) -> Column:
+            digits, carry = [], None
+            for limb in range(5):
+                number = sums[limb] if carry is None else (sums[limb] + carry.cast(narrow)).cast(DECIMAL38)
+                digits.insert(0, F.lpad((number % _decimal(base)).cast("string"), 18, "0"))
+                carry = F.call_function("div", number, _decimal(base))
+            return F.regexp_replace(F.concat(carry.cast("string"), *digits), "^0+(?!$)", "")
+
+        def signed(v: Column) -> Column:
+            digits = _bind(_bind(magnitude(v), multiply), render)
+            return F.concat(F.when(v["w0"] < 0, "-").otherwise(""), digits)
+
+        return _bind(value, signed)
 
     def summary(self, t: DataFrame, keys: list[str]) -> DataFrame:
         """Per key: ``transfer_count``, ``total_volume``, ``largest_transfer``.
