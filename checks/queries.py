@@ -201,7 +201,12 @@ def chain_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drop_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = transfer_source.without_chain(views.all_chains(spark, sf_dir), 8453)
+    """A landed table of three chains that loses one."""
+    path = shared_folder(spark, "transfers")
+    source = views.all_chains(spark, sf_dir).withColumn("transaction_hash", F.lit("0x0"))
+    transfer_source.write_transfers(wide(source), path)
+    transfer_source.drop_chain(spark, path, 8453)
+    t = transfer_source.read_transfers(spark, path)
     return t.groupBy("chain_id").agg(F.count(F.lit(1)).alias("transfers"))
 
 

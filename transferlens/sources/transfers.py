@@ -142,12 +142,12 @@ def without_chain(t: DataFrame, chain_id: int) -> DataFrame:
     return t.filter(F.col("chain_id") != check_chain(chain_id))
 
 
-def drop_chain(spark: SparkSession, table: str, chain_id: int) -> int:
-    """Drop one chain's partitions of a catalog table; returns the number of rows removed, 0 if there is
-    no such table. No data is rewritten."""
-    check_chain(chain_id)
-    if not spark.catalog.tableExists(table):
-        return 0
-    rows = spark.table(table).filter(F.col("chain_id") == chain_id).count()
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (chain_id = {int(chain_id)})")
+def drop_chain(spark: SparkSession, path: str, chain_id: int, amounts: str = "u256") -> int:
+    """Remove one chain's partition folder from the landed table; returns the number of rows removed, 0 if
+    there is no such chain or table. No data is rewritten."""
+    landed = landed_or_none(spark, path, amounts)
+    rows = 0 if landed is None else landed.filter(F.col("chain_id") == check_chain(chain_id)).count()
+    if rows:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/chain_id={int(chain_id)}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
     return rows
