@@ -37,17 +37,18 @@ def rows(spark):
     """Transfers from (contract, from, to, value, time) tuples with amounts as text, in both amount forms."""
     from pyspark.sql import functions as F
 
-    from transferlens.functions.amounts import DECIMAL38, u256_from_text
+    from transferlens.functions.amounts import DECIMAL38, u256_from_hex
 
     def build(data, amounts="u256"):
-        records = [(130, 10 + i, i, *record) for i, record in enumerate(data)]
+        records = [(130, 10 + i, i, *record, format(int(record[3]), "064x")) for i, record in enumerate(data)]
         t = spark.createDataFrame(
             records,
             "chain_id bigint, block_number bigint, log_index bigint, contract_address string, "
-            "from_address string, to_address string, value string, time string",
+            "from_address string, to_address string, value string, time string, digits string",
         )
-        value = u256_from_text(F.col("value")) if amounts == "u256" else F.col("value").cast(DECIMAL38)
-        return t.withColumn("value", value).withColumn("block_timestamp", F.col("time").cast("timestamp")).drop("time")
+        value = u256_from_hex(F.col("digits")) if amounts == "u256" else F.col("value").cast(DECIMAL38)
+        timed = t.withColumn("value", value).withColumn("block_timestamp", F.col("time").cast("timestamp"))
+        return timed.drop("time", "digits")
 
     return build
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,15 +88,12 @@ def check_chain(chain_id: int) -> int:
     return chain_id
 
 
-def chain_registry(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(CHAINS.items()), "chain_id bigint, chain_name string")
-
-
 def with_chain(t: DataFrame) -> DataFrame:
-    """Add ``chain_name``. The registry has a fixed 12 rows, so it is safe to broadcast."""
-    return t.join(F.broadcast(chain_registry(t.sparkSession)), "chain_id", "left")
+    """Add ``chain_name``, NULL for an unknown id. The registry is a fixed map, so this is a projection."""
+    names = F.create_map(*(F.lit(x) for entry in CHAINS.items() for x in entry))
+    return t.withColumn("chain_name", F.try_element_at(names, F.col("chain_id").cast("int")))
 
 
 def unknown_chains(t: DataFrame) -> DataFrame:
     """Rows whose chain id is not in the registry."""
-    return t.join(F.broadcast(chain_registry(t.sparkSession)), "chain_id", "left_anti")
+    return t.filter(~F.coalesce(F.col("chain_id").isin(*CHAINS), F.lit(False)))
