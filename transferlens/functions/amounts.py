@@ -128,6 +128,12 @@ class DecimalAmounts:
     def total(self, value: Column) -> Column:
         return F.sum(value.cast(DECIMAL38)).cast(DECIMAL38)
 
+    def partial_sums(self, name: str, value: Column) -> list[Column]:
+        return [self.total(value).alias(name)]
+
+    def finish_sums(self, df: DataFrame, names: list[str]) -> DataFrame:
+        return df
+
     def zero(self) -> Column:
         return F.lit(0).cast(DECIMAL38)
 
@@ -183,6 +189,15 @@ class U256Amounts:
     def total(self, value: Column) -> Column:
         return self._from_slice_sums(self._slice_sums(value))
 
+    def partial_sums(self, name: str, value: Column) -> list[Column]:
+        return [part.alias(f"{name}_{i}") for i, part in enumerate(self._slice_sums(value))]
+
+    def finish_sums(self, df: DataFrame, names: list[str]) -> DataFrame:
+        slices = {name: [f"{name}_{i}" for i in range(13)] for name in names}
+        others = [c for c in df.columns if not any(c in parts for parts in slices.values())]
+        totals = [self._from_slice_sums([F.col(p) for p in parts]).alias(n) for n, parts in slices.items()]
+        return df.select(*others, *totals)
+
     def zero(self) -> Column:
         return _amount([_big(0)] * WORDS)
 
@@ -267,28 +282,42 @@ class U256Amounts:
             F.max(lower).alias("lower"),
             *(part.alias(name) for name, part in sums.items()),
         )
-        highest = F.max(F.struct(*upper, "lower"))
-        return (
-            groups.groupBy(*keys)
-            .agg(
-                F.sum("n").alias("transfer_count"),
-                self._from_slice_sums([F.sum(name) for name in sums]).alias("total_volume"),
-                highest.alias("highest"),
-            )
-            .withColumn(
-                "largest_transfer",
-                _amount(
-                    [
-                        *(F.col("highest")[w] for w in upper),
-                        F.call_function("div", F.col("highest")["lower"], _decimal(2**WORD_BITS)),
-                        F.col("highest")["lower"] % _decimal(2**WORD_BITS),
-                    ]
-                ),
-            )
-            .drop("highest")
+        highest, word = F.col("highest"), _decimal(2**WORD_BITS)
+        largest = [highest[w] for w in upper] + [
+            F.call_function("div", highest["lower"], word),
+            highest["lower"] % word,
+        ]
+        merged = groups.groupBy(*keys).agg(
+            F.sum("n").alias("transfer_count"),
+            F.max(F.struct(*upper, "lower")).alias("highest"),
+            *(F.sum(name).alias(name) for name in sums),
+        )
+        return merged.select(
+            *keys,
+            "transfer_count",
+            self._from_slice_sums([F.col(name) for name in sums]).alias("total_volume"),
+            _amount(largest).alias("largest_transfer"),
         )
 
 
+def aggregate(t: DataFrame, keys: list[Column | str], measures: list[Column], totals: dict[str, str]) -> DataFrame:
+    """Group by ``keys`` (none for one row): the measures, then one exact total per entry of ``totals``, which
+    maps result names to amount columns.
+
+    The slice sums of a 256-bit total carry in a projection above the aggregate. There the shared parts of the
+    carries are evaluated once, while an aggregate's own result expressions would repeat them.
+    """
+    sums, kinds = [], {}
+    for name, column in totals.items():
+        amounts = amounts_of(t, column)
+        kinds.setdefault(type(amounts), (amounts, []))[1].append(name)
+        sums += amounts.partial_sums(name, F.col(column))
+    result = t.groupBy(*keys).agg(*measures, *sums)
+    for amounts, names in kinds.values():
+        result = amounts.finish_sums(result, names)
+    return result
+
+
 def amounts_of(df: DataFrame, column: str = "value") -> DecimalAmounts | U256Amounts:
     """The operations that fit the amount column of ``df``."""
     dtype = df.schema[column].dataType

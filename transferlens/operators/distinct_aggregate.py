@@ -5,13 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from transferlens.functions.amounts import aggregate
 from transferlens.functions.counting import distinct
 
 
 def aggregate_with_distincts(
-    t: DataFrame, keys: list[Column], measures: list[Column], distincts: dict[str, str], approx: bool = False
+    t: DataFrame,
+    keys: list[Column | str],
+    measures: list[Column],
+    totals: dict[str, str],
+    distincts: dict[str, str],
+    approx: bool = False,
 ) -> DataFrame:
-    """Group by named ``keys`` (none for one row); ``distincts`` maps result names to columns.
+    """Group by named ``keys`` (none for one row); ``totals`` maps result names to amount columns and
+    ``distincts`` to columns whose values are counted.
 
     One aggregate with several exact distinct counts expands each row once per column, and every expanded
     entry carries the buffers of all other measures through the shuffle. Amount sums are wide, so here the
@@ -21,8 +28,8 @@ def aggregate_with_distincts(
     """
     counts = [distinct(column, approx).alias(name) for name, column in distincts.items()]
     if approx or len(counts) < 2:
-        return t.groupBy(*keys).agg(*measures, *counts)
-    measured, counted = t.groupBy(*keys).agg(*measures), t.groupBy(*keys).agg(*counts)
+        return aggregate(t, keys, [*measures, *counts], totals)
+    measured, counted = aggregate(t, keys, measures, totals), t.groupBy(*keys).agg(*counts)
     if keys:
         names = t.select(*keys).columns
         return measured.join(counted, names)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transferlens.functions.amounts import amounts_of
+from transferlens.functions.amounts import aggregate, amounts_of
 from transferlens.schema import ZERO_ADDRESS
 
 
@@ -27,10 +27,5 @@ def token_balances(t: DataFrame) -> DataFrame:
 
     The one shuffle is by token and address, after map-side sums, so a hot token spreads over all tasks.
     """
-    amounts = amounts_of(t)
-    return (
-        ledger_entries(t)
-        .groupBy("contract_address", "address")
-        .agg(amounts.total(F.col("delta")).alias("balance"))
-        .filter(amounts.positive(F.col("balance")))
-    )
+    balances = aggregate(ledger_entries(t), ["contract_address", "address"], [], {"balance": "delta"})
+    return balances.filter(amounts_of(t).positive(F.col("balance")))

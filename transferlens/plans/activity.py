@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from transferlens.functions import periods
-from transferlens.functions.amounts import DecimalAmounts, U256Amounts, amounts_of
+from transferlens.functions.amounts import DecimalAmounts, U256Amounts, aggregate, amounts_of
 from transferlens.functions.counting import distinct, transfers
 from transferlens.operators.distinct_aggregate import aggregate_with_distincts
 from transferlens.operators.metadata_join import with_metadata
@@ -16,14 +16,10 @@ from transferlens.operators.ordering import top
 from transferlens.schema import with_chain
 
 
-def _total(t: DataFrame) -> Column:
-    return amounts_of(t).total(F.col("value"))
-
-
-def _total_or_zero(t: DataFrame) -> Column:
+def _or_zero(row: DataFrame, total: str, count: str) -> DataFrame:
     """For aggregates without keys, where no rows must give 0 rather than NULL."""
-    amounts = amounts_of(t)
-    return F.when(transfers() == 0, amounts.zero()).otherwise(amounts.total(F.col("value")))
+    zero = amounts_of(row, total).zero()
+    return row.withColumn(total, F.when(F.col(count) == 0, zero).otherwise(F.col(total)))
 
 
 def _mean(amounts: DecimalAmounts | U256Amounts, total: Column, count: Column) -> Column:
@@ -38,7 +34,6 @@ def _with_mean(df: DataFrame, t: DataFrame, count: str, name: str) -> DataFrame:
 def ecosystem_summary(t: DataFrame, *, approx: bool = False) -> DataFrame:
     measures = [
         transfers().alias("total_transfers"),
-        _total_or_zero(t).alias("total_volume"),
         F.min("block_timestamp").alias("earliest_activity"),
         F.max("block_timestamp").alias("latest_activity"),
     ]
@@ -47,7 +42,8 @@ def ecosystem_summary(t: DataFrame, *, approx: bool = False) -> DataFrame:
         "unique_senders": "from_address",
         "unique_receivers": "to_address",
     }
-    return aggregate_with_distincts(t, [], measures, distincts, approx).select(
+    summary = aggregate_with_distincts(t, [], measures, {"total_volume": "value"}, distincts, approx)
+    return _or_zero(summary, "total_volume", "total_transfers").select(
         "total_transfers", *distincts, "total_volume", "earliest_activity", "latest_activity"
     )
 
@@ -58,8 +54,9 @@ def top_active_tokens(
     distincts = {"unique_senders": "from_address", "unique_receivers": "to_address"}
     tokens = aggregate_with_distincts(
         t,
-        [F.col("contract_address")],
-        [transfers().alias("transfer_count"), _total(t).alias("total_volume")],
+        ["contract_address"],
+        [transfers().alias("transfer_count")],
+        {"total_volume": "value"},
         distincts,
         approx,
     ).select("contract_address", "transfer_count", *distincts, "total_volume")
@@ -80,7 +77,8 @@ def daily_activity(
     daily = aggregate_with_distincts(
         recent,
         [periods.day_of(t).alias("date")],
-        [transfers().alias("daily_transfers"), _total(t).alias("daily_volume")],
+        [transfers().alias("daily_transfers")],
+        {"daily_volume": "value"},
         distincts,
         approx,
     ).select("date", "daily_transfers", *distincts, "daily_volume")
@@ -91,10 +89,11 @@ def hourly_pattern(
     t: DataFrame, *, as_of: periods.AsOf = None, days: int | None = 7, approx: bool = False
 ) -> DataFrame:
     recent = periods.last_days(t, days, as_of)
-    hours = recent.groupBy(F.hour("block_timestamp").alias("hour_of_day")).agg(
-        transfers().alias("transfer_count"),
-        distinct("from_address", approx).alias("unique_users"),
-        _total(t).alias("_total"),
+    hours = aggregate(
+        recent,
+        [F.hour("block_timestamp").alias("hour_of_day")],
+        [transfers().alias("transfer_count"), distinct("from_address", approx).alias("unique_users")],
+        {"_total": "value"},
     )
     return _with_mean(hours, t, "transfer_count", "avg_transfer_value").orderBy("hour_of_day")
 
@@ -102,14 +101,11 @@ def hourly_pattern(
 def today_activity(
     t: DataFrame, *, day: str | date | None = None, limit: int | None = 15, approx: bool = False
 ) -> DataFrame:
-    tokens = (
-        periods.on_day(t, day)
-        .groupBy("contract_address")
-        .agg(
-            transfers().alias("today_transfers"),
-            distinct("from_address", approx).alias("unique_senders"),
-            _total(t).alias("today_volume"),
-        )
+    tokens = aggregate(
+        periods.on_day(t, day),
+        ["contract_address"],
+        [transfers().alias("today_transfers"), distinct("from_address", approx).alias("unique_senders")],
+        {"today_volume": "value"},
     )
     return top(tokens, limit, F.desc("today_transfers"), "contract_address")
 
@@ -124,14 +120,11 @@ def trending_tokens(
     approx: bool = False,
     missing: str = "null",
 ) -> DataFrame:
-    tokens = (
-        periods.last_days(t, days, as_of)
-        .groupBy("contract_address")
-        .agg(
-            transfers().alias("recent_transfers"),
-            distinct("from_address", approx).alias("recent_users"),
-            _total(t).alias("recent_volume"),
-        )
+    tokens = aggregate(
+        periods.last_days(t, days, as_of),
+        ["contract_address"],
+        [transfers().alias("recent_transfers"), distinct("from_address", approx).alias("recent_users")],
+        {"recent_volume": "value"},
     )
     named = with_metadata(tokens, m, "name", "symbol", missing=missing)
     return top(named, limit, F.desc("recent_transfers"), "contract_address")
@@ -143,7 +136,8 @@ def monthly_growth(t: DataFrame, *, limit: int | None = 12, approx: bool = False
     months = aggregate_with_distincts(
         t,
         [(F.year(day) * 100 + F.month(day)).alias("month")],
-        [transfers().alias("monthly_transfers"), _total(t).alias("monthly_volume")],
+        [transfers().alias("monthly_transfers")],
+        {"monthly_volume": "value"},
         distincts,
         approx,
     ).select("month", "monthly_transfers", *distincts, "monthly_volume")
@@ -154,14 +148,11 @@ def day_of_week_pattern(
     t: DataFrame, *, as_of: periods.AsOf = None, days: int | None = 30, approx: bool = False
 ) -> DataFrame:
     """Monday to Sunday. Grouped by the weekday number; the name is derived from it afterwards."""
-    weekdays = (
-        periods.last_days(t, days, as_of)
-        .groupBy(F.weekday(periods.day_of(t)).alias("weekday"))
-        .agg(
-            transfers().alias("transfers"),
-            distinct("from_address", approx).alias("unique_users"),
-            _total(t).alias("_total"),
-        )
+    weekdays = aggregate(
+        periods.last_days(t, days, as_of),
+        [F.weekday(periods.day_of(t)).alias("weekday")],
+        [transfers().alias("transfers"), distinct("from_address", approx).alias("unique_users")],
+        {"_total": "value"},
     )
     # 2024-01-01 was a Monday, weekday 0.
     name = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), F.col("weekday")), "EEEE")
@@ -190,14 +181,14 @@ def token_profile(t: DataFrame, token: str, *, approx: bool = False) -> DataFram
     """One row, also for a token without transfers."""
     measures = [
         transfers().alias("total_transfers"),
-        _total_or_zero(t).alias("total_volume"),
         F.min("block_timestamp").alias("first_transfer"),
         F.max("block_timestamp").alias("latest_transfer"),
     ]
     distincts = {"unique_senders": "from_address", "unique_receivers": "to_address"}
     profile = aggregate_with_distincts(
-        t.filter(F.col("contract_address") == token), [], measures, distincts, approx
+        t.filter(F.col("contract_address") == token), [], measures, {"total_volume": "value"}, distincts, approx
     )
+    profile = _or_zero(profile, "total_volume", "total_transfers")
     average = _mean(amounts_of(t), F.col("total_volume"), F.col("total_transfers"))
     return profile.select(
         "total_transfers",
@@ -213,33 +204,35 @@ def token_profile(t: DataFrame, token: str, *, approx: bool = False) -> DataFram
 def user_activity(t: DataFrame, address: str, *, approx: bool = False) -> DataFrame:
     """A Sent and a Received row, from one scan; both rows appear also without transfers."""
     amounts = amounts_of(t)
-    sent, received = F.col("from_address") == address, F.col("to_address") == address
-
-    def side(name: str, mine: Column) -> Column:
-        none = F.count_if(mine) == 0
-        total = F.when(none, amounts.zero()).otherwise(amounts.total(amounts.only_if(mine, F.col("value"))))
+    measures, shares = [], {}
+    for side, column in (("sent", "from_address"), ("received", "to_address")):
+        mine = F.col(column) == address
+        shares[f"{side}_value"] = amounts.only_if(mine, F.col("value"))
+        token = F.when(mine, F.col("contract_address"))
+        measures += [F.count_if(mine).alias(f"{side}_count"), distinct(token, approx).alias(f"{side}_tokens")]
+    own = t.filter((F.col("from_address") == address) | (F.col("to_address") == address))
+    row = aggregate(own.withColumns(shares), [], measures, {f"{name}_total": name for name in shares})
+
+    def entry(label: str, side: str) -> Column:
+        total = F.when(F.col(f"{side}_count") == 0, amounts.zero()).otherwise(F.col(f"{side}_value_total"))
         return F.struct(
-            F.lit(name).alias("direction"),
-            F.count_if(mine).alias("transaction_count"),
-            distinct(F.when(mine, F.col("contract_address")), approx).alias("unique_tokens"),
+            F.lit(label).alias("direction"),
+            F.col(f"{side}_count").alias("transaction_count"),
+            F.col(f"{side}_tokens").alias("unique_tokens"),
             total.alias("total_value"),
         )
 
-    sides = t.filter(sent | received).agg(F.array(side("Sent", sent), side("Received", received)).alias("sides"))
-    return sides.select(F.inline("sides"))
+    return row.select(F.inline(F.array(entry("Sent", "sent"), entry("Received", "received"))))
 
 
 def activity_between(
     t: DataFrame, start: str | datetime, end: str | datetime, *, approx: bool = False
 ) -> DataFrame:
     """Daily activity from ``start`` to ``end``, both inclusive."""
-    daily = (
-        periods.between(t, start, end)
-        .groupBy(periods.day_of(t).alias("date"))
-        .agg(
-            transfers().alias("daily_transfers"),
-            distinct("contract_address", approx).alias("active_tokens"),
-            _total(t).alias("daily_volume"),
-        )
+    daily = aggregate(
+        periods.between(t, start, end),
+        [periods.day_of(t).alias("date")],
+        [transfers().alias("daily_transfers"), distinct("contract_address", approx).alias("active_tokens")],
+        {"daily_volume": "value"},
     )
     return daily.orderBy(F.desc("date"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from transferlens.functions.amounts import amounts_of
+from transferlens.functions.amounts import aggregate, amounts_of
 from transferlens.functions.counting import distinct, transfers
 from transferlens.operators.ledger import token_balances
 from transferlens.operators.metadata_join import with_metadata
@@ -15,10 +15,11 @@ from transferlens.operators.ordering import top
 def top_senders(
     t: DataFrame, *, min_transfers: int = 10, limit: int | None = 50, approx: bool = False
 ) -> DataFrame:
-    senders = t.groupBy("from_address").agg(
-        transfers().alias("transactions_sent"),
-        distinct("contract_address", approx).alias("tokens_used"),
-        amounts_of(t).total(F.col("value")).alias("total_sent_volume"),
+    senders = aggregate(
+        t,
+        ["from_address"],
+        [transfers().alias("transactions_sent"), distinct("contract_address", approx).alias("tokens_used")],
+        {"total_sent_volume": "value"},
     )
     active = senders.filter(F.col("transactions_sent") > min_transfers)
     return top(active, limit, F.desc("transactions_sent"), "from_address")
@@ -27,10 +28,11 @@ def top_senders(
 def top_receivers(
     t: DataFrame, *, min_transfers: int = 10, limit: int | None = 50, approx: bool = False
 ) -> DataFrame:
-    receivers = t.groupBy("to_address").agg(
-        transfers().alias("transactions_received"),
-        distinct("contract_address", approx).alias("tokens_received"),
-        amounts_of(t).total(F.col("value")).alias("total_received_volume"),
+    receivers = aggregate(
+        t,
+        ["to_address"],
+        [transfers().alias("transactions_received"), distinct("contract_address", approx).alias("tokens_received")],
+        {"total_received_volume": "value"},
     )
     active = receivers.filter(F.col("transactions_received") > min_transfers)
     return top(active, limit, F.desc("transactions_received"), "to_address")
@@ -67,7 +69,7 @@ def holder_distribution(t: DataFrame, token: str, *, limit: int | None = 100) ->
     """
     balances = token_balances(t.filter(F.col("contract_address") == token))
     amounts = amounts_of(balances, "balance")
-    supply = balances.agg(amounts.to_double(amounts.total(F.col("balance"))).alias("supply"))
+    supply = aggregate(balances, [], [], {"total": "balance"}).select(amounts.to_double(F.col("total")).alias("supply"))
     holders = balances.select(
         F.col("address").alias("holder_address"),
         "balance",
@@ -82,8 +84,8 @@ def user_portfolio(
     """Positive balances of one address. A single scan with the address filter pushed down."""
     amounts = amounts_of(t)
     sent, received = F.col("from_address") == address, F.col("to_address") == address
-    balance = amounts.total(amounts.net(received, sent, F.col("value")))
-    tokens = t.filter(sent | received).groupBy("contract_address").agg(balance.alias("balance"))
+    own = t.filter(sent | received).withColumn("change", amounts.net(received, sent, F.col("value")))
+    tokens = aggregate(own, ["contract_address"], [], {"balance": "change"})
     held = tokens.filter(amounts.positive(F.col("balance")))
     named = with_metadata(held, m, "name", "symbol", missing=missing)
     return top(named, limit, F.desc("balance"), "contract_address")
@@ -107,24 +109,17 @@ def token_concentration(
     key = "contract_address"
     balances = token_balances(t)
     amounts = amounts_of(balances, "balance")
-    supply = balances.groupBy(key).agg(
-        F.count(F.lit(1)).alias("total_holders"),
-        amounts.total(F.col("balance")).alias("total_supply"),
-    )
+    supply = aggregate(balances, [key], [F.count(F.lit(1)).alias("total_holders")], {"total_supply": "balance"})
     supply = supply.filter(F.col("total_holders") >= min_holders)
     largest_first = Window.partitionBy(key).orderBy(F.desc("balance"), "address")
-    largest = (
-        balances.withColumn("holder_rank", F.row_number().over(largest_first))
-        .filter(F.col("holder_rank") <= top_holders)
-        .groupBy(key)
-        .agg(amounts.total(F.col("balance")).alias(f"top_{top_holders}_holders_balance"))
-    )
-    held = F.col(f"top_{top_holders}_holders_balance")
+    ranked = balances.withColumn("holder_rank", F.row_number().over(largest_first))
+    held = f"top_{top_holders}_holders_balance"
+    largest = aggregate(ranked.filter(F.col("holder_rank") <= top_holders), [key], [], {held: "balance"})
     shares = supply.join(largest, key).select(
         key,
         "total_holders",
         held,
-        F.try_divide(amounts.to_double(held) * 100.0, amounts.to_double(F.col("total_supply"))).alias(
+        F.try_divide(amounts.to_double(F.col(held)) * 100.0, amounts.to_double(F.col("total_supply"))).alias(
             "concentration_percent"
         ),
     )
@@ -144,23 +139,32 @@ def airdrop_candidates(
     missing: str = "null",
 ) -> DataFrame:
     """Senders that gave one token to many addresses within a short span."""
-    senders = (
-        t.groupBy("contract_address", F.col("from_address").alias("distributor"))
-        .agg(
+    senders = aggregate(
+        t,
+        ["contract_address", F.col("from_address").alias("distributor")],
+        [
             distinct("to_address", approx).alias("unique_recipients"),
             transfers().alias("total_distributions"),
-            amounts_of(t).total(F.col("value")).alias("total_distributed"),
             F.min("block_timestamp").alias("first_distribution"),
             F.max("block_timestamp").alias("last_distribution"),
+        ],
+        {"total_distributed": "value"},
+    ).filter(
+        (F.col("unique_recipients") >= min_recipients)
+        & (F.col("total_distributions") >= min_transfers)
+        & (
+            F.col("last_distribution") - F.col("first_distribution")
+            <= F.expr(f"INTERVAL '{int(max_days)}' DAY")
         )
-        .filter(
-            (F.col("unique_recipients") >= min_recipients)
-            & (F.col("total_distributions") >= min_transfers)
-            & (
-                F.col("last_distribution") - F.col("first_distribution")
-                <= F.expr(f"INTERVAL '{int(max_days)}' DAY")
-            )
-        )
+    )
+    senders = senders.select(
+        "contract_address",
+        "distributor",
+        "unique_recipients",
+        "total_distributions",
+        "total_distributed",
+        "first_distribution",
+        "last_distribution",
     )
     named = with_metadata(senders, m, "symbol", missing=missing)
     return top(named, limit, F.desc("unique_recipients"), "contract_address", "distributor")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from transferlens.functions import periods
-from transferlens.functions.amounts import amounts_of
+from transferlens.functions.amounts import aggregate, amounts_of
 from transferlens.functions.counting import distinct, transfers
 from transferlens.operators.metadata_join import with_metadata
 from transferlens.operators.ordering import top
@@ -143,15 +143,12 @@ def minting_activity(
     t: DataFrame, m: DataFrame, *, limit: int | None = 20, approx: bool = False, missing: str = "null"
 ) -> DataFrame:
     """Transfers out of the zero address, per token."""
-    tokens = (
-        t.filter(F.col("from_address") == ZERO_ADDRESS)
-        .groupBy("contract_address")
-        .agg(
-            transfers().alias("mint_events"),
-            amounts_of(t).total(F.col("value")).alias("total_minted"),
-            distinct("to_address", approx).alias("unique_recipients"),
-        )
-    )
+    tokens = aggregate(
+        t.filter(F.col("from_address") == ZERO_ADDRESS),
+        ["contract_address"],
+        [transfers().alias("mint_events"), distinct("to_address", approx).alias("unique_recipients")],
+        {"total_minted": "value"},
+    ).select("contract_address", "mint_events", "total_minted", "unique_recipients")
     named = with_metadata(tokens, m, "name", "symbol", missing=missing)
     return top(named, limit, F.desc("total_minted"), "contract_address")
 

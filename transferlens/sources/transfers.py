@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transferlens.functions.amounts import amounts_of
+from transferlens.functions.amounts import aggregate, amounts_of
 from transferlens.schema import check_chain, transfers_schema
 from transferlens.session import shared_folder
 
@@ -128,14 +128,14 @@ def ingest_stats(t: DataFrame, by: str | None = None) -> DataFrame:
 
     The rate spans the first to the last write, so it is NULL for a single batch.
     """
-    total = amounts_of(t).total(F.col("value")).alias("total_value")
-    counts = [F.count(F.lit(1)).alias("total_events"), total, F.max("block_number").alias("last_block")]
+    counts = [F.count(F.lit(1)).alias("total_events"), F.max("block_number").alias("last_block")]
+    totals = {"total_value": "value"}
     if by:
-        return t.groupBy(by).agg(*counts).orderBy(by)
+        return aggregate(t, [by], counts, totals).orderBy(by)
     first, last = F.min("db_write_timestamp"), F.max("db_write_timestamp")
     seconds = (F.unix_micros(last.cast("timestamp")) - F.unix_micros(first.cast("timestamp"))).cast("double")
     rate = F.try_divide(F.count(F.lit(1)).cast("double"), seconds / F.lit(1e6).cast("double"))
-    return t.agg(*counts, rate.alias("events_per_second"))
+    return aggregate(t, [], [*counts, rate.alias("events_per_second")], totals)
 
 
 def without_chain(t: DataFrame, chain_id: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transferlens.functions.amounts import amounts_of
+from transferlens.functions.amounts import aggregate
 
 
 def _days(t: DataFrame, delay: str) -> DataFrame:
@@ -16,8 +16,8 @@ def _days(t: DataFrame, delay: str) -> DataFrame:
 
 def stream_daily_activity(t: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Transfers and volume per day."""
-    daily = _days(t, delay).groupBy("day").agg(
-        F.count(F.lit(1)).alias("daily_transfers"), amounts_of(t).total(F.col("value")).alias("daily_volume")
+    daily = aggregate(
+        _days(t, delay), ["day"], [F.count(F.lit(1)).alias("daily_transfers")], {"daily_volume": "value"}
     )
     return daily.select(F.to_date("day.start").alias("date"), "daily_transfers", "daily_volume")
 
