@@ -135,6 +135,37 @@ def _mean(count: str = "count(*)") -> str:
     return f"round(cast(sum(value) AS DOUBLE) / {count}, 4)"
 
 
+# Amount columns, printed as digits.
+AMOUNTS = {
+    "sanitize_transfers": ["value"],
+    "ecosystem_summary": ["total_volume"],
+    "top_active_tokens": ["total_volume"],
+    "daily_activity": ["daily_volume"],
+    "today_activity": ["today_volume"],
+    "trending_tokens": ["recent_volume"],
+    "monthly_growth": ["monthly_volume"],
+    "token_profile": ["total_volume"],
+    "user_activity": ["total_value"],
+    "activity_between": ["daily_volume"],
+    "volume_leaders": ["total_volume", "largest_transfer"],
+    "whale_transfers": ["value"],
+    "minting_activity": ["total_minted"],
+    "top_senders": ["total_sent_volume"],
+    "top_receivers": ["total_received_volume"],
+    "holder_distribution": ["balance"],
+    "user_portfolio": ["balance"],
+    "token_concentration": ["top_10_holders_balance"],
+    "airdrop_candidates": ["total_distributed"],
+    "token_balances": ["balance"],
+    "stream_daily_activity": ["daily_volume"],
+}
+
+
+def _printed(sql: str, amounts: list[str]) -> str:
+    casts = ", ".join(f"cast({name} AS VARCHAR) AS {name}" for name in amounts)
+    return f"SELECT * REPLACE ({casts}) FROM ({sql})" if amounts else sql
+
+
 def _with(*ctes: str, body: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n" + body.strip()
 
@@ -512,4 +543,4 @@ def oracle_sql() -> dict[str, str]:
     sql["stream_daily_users"] = _with(
         TRANSFERS, body=f"SELECT date, count(DISTINCT from_address) AS unique_users FROM {closed}"
     )
-    return sql
+    return {name: _printed(text, AMOUNTS.get(name, [])) for name, text in sql.items()}

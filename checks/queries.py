@@ -40,9 +40,10 @@ LANDED = [
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Doubles to 4 decimals, so that two engines print them alike."""
+    """Doubles to 4 decimals and wide decimals to digits, so that two engines print them alike."""
     doubles = {f.name: F.round(f.name, 4) for f in df.schema if isinstance(f.dataType, T.DoubleType)}
-    return df.withColumns(doubles)
+    amounts = {f.name: F.col(f.name).cast("string") for f in df.schema if isinstance(f.dataType, T.DecimalType)}
+    return df.withColumns({**doubles, **amounts})
 
 
 def on_transfers(plan: Callable[..., DataFrame], **parameters) -> Query:
@@ -114,7 +115,7 @@ def _untidy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sanitize_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transfer_source.sanitize(_untidy(spark, sf_dir))
+    return rounded(transfer_source.sanitize(_untidy(spark, sf_dir)))
 
 
 def oversize_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,7 +230,7 @@ def _run_stream(spark: SparkSession, sf_dir: str, plan: Callable[[DataFrame], Da
 
 
 def daily_activity_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run_stream(spark, sf_dir, stream_daily_activity)
+    return rounded(_run_stream(spark, sf_dir, stream_daily_activity))
 
 
 def daily_users_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,9 @@ def test_every_query_has_reference_sql():
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_matches_duckdb(spark, duck, sf_dir, name):
-    found = spark_rows(entry.queries()[name](spark, sf_dir))
+    result = entry.queries()[name](spark, sf_dir)
+    assert not any(kind.startswith("decimal") for _, kind in result.dtypes)
+    found = spark_rows(result)
     assert found == duckdb_rows(duck, entry.oracle_sql()[name])
 
 
