@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,9 +17,24 @@ WORDS = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per application, for functions that run in Python there."""
+    context = spark.sparkContext
+    if getattr(context, "_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp()) / f"{root.name}.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for file in root.rglob("*.py"):
+            archive.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(target))
+    context._shipped = True
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the folder all executors share, so that a lost executor costs no recomputation."""
     spark = df.sparkSession

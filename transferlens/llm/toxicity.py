@@ -31,6 +31,7 @@ from transferlens.llm.language import blocks, text_bytes
 SAMPLE = 12_000
 VOCABULARY = 60_000
 LANDMARKS = 96
+MARKS = 1000
 LAMBDA = 0.6
 SPAN = 5
 COST = 10.0
@@ -114,17 +115,28 @@ def subsequences(word: str) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([i for i, _ in found]), weights / norms(np.array([len(code)]))[0]
 
 
-def explicit(words: list[str], columns: np.ndarray) -> np.ndarray:
+def dense(found: list[tuple[np.ndarray, np.ndarray]], columns: np.ndarray) -> np.ndarray:
     """Weights of the triples ``columns`` (sorted) in each of a bounded list of words."""
-    out = np.zeros((len(words), len(columns)), np.float32)
-    for row, word in enumerate(words):
-        index, weight = subsequences(word)
+    out = np.zeros((len(found), len(columns)), np.float32)
+    for row, (index, weight) in enumerate(found):
         at = np.minimum(np.searchsorted(columns, index), len(columns) - 1)
         known = columns[at] == index
         np.add.at(out[row], at[known], weight[known])
     return out
 
 
+def spread(rows: np.ndarray, order: np.ndarray, most: int, alike: float = 0.7) -> list[int]:
+    """The first rows along ``order`` of which no two are much alike."""
+    chosen: list[int] = []
+    for i in order:
+        if len(chosen) == most:
+            break
+        size = float(rows[i] @ rows[i])
+        if size > 0 and (not chosen or (rows[chosen] @ rows[i] / np.sqrt(size * (rows[chosen] ** 2).sum(axis=1))).max() < alike):
+            chosen.append(int(i))
+    return chosen
+
+
 def margins(column: pa.Array, weights: np.ndarray, bias: float) -> np.ndarray:
     """The largest margin of a word, for each whole text."""
     data, ends = text_bytes(column)
@@ -193,24 +205,28 @@ def learn(labelled: DataFrame, key: str = "doc_id", text: str = "text", toxic: s
     flat = (np.zeros(SYMBOLS**3, np.float32), 0.0, 0.0, float(np.log(base / (1 - base))) if 0 < base < 1 else (30.0 if base else -30.0))
     # A word marks toxic texts where it is far more frequent there than in all texts.
     lift = (table["bad"] + 0.0) / (table["n"] + 1.0)
-    marks = table[(lift > 0.6) & (table["bad"] >= 3)].head(2 * LANDMARKS)
+    marks = table[(lift > 0.6) & (table["bad"] >= 3)].head(MARKS)
     if not len(marks) or base == 1:
         return flat
-    others = clean[clean["bad"] / clean["n"] <= min(2 * base, 0.5)]
-    frequent = table[(table["bad"] / table["n"]) <= min(2 * base, 0.5)].sort_values(["n", "word"], ascending=[False, True])
-    negative = list(dict.fromkeys([*frequent["word"].head(2000), *others["word"].head(6000)]))
     positive = list(marks["word"])
-    landmarks = [*positive[:LANDMARKS], *negative[: LANDMARKS // 2]]
-    # Triples that no landmark has add nothing to a kernel with one.
-    columns = np.unique(np.concatenate([subsequences(x)[0] for x in landmarks]))
-    phi = explicit(landmarks, columns)
-    gram = phi @ phi.T
-    values, vectors = np.linalg.eigh(gram.astype(float) + 1e-4 * np.eye(len(landmarks)))
+    frequent = table[(table["bad"] / table["n"]) <= min(2 * base, 0.5)]
+    others = clean[(clean["bad"] / clean["n"]) <= min(2 * base, 0.5)]
+    negative = list(dict.fromkeys([*frequent.sort_values(["n", "word"], ascending=[False, True])["word"].head(5000), *others["word"]]))
+    found = [subsequences(x) for x in [*positive, *negative]]
+    # Triples that no positive word has add nothing to a kernel with one.
+    columns = np.unique(np.concatenate([i for i, _ in found[: len(positive)]]))
+    explicit = np.concatenate([dense(found[i : i + 2000], columns) for i in range(0, len(found), 2000)])
+    marking = spread(explicit[: len(positive)], np.arange(len(positive)), LANDMARKS)
+    close = explicit[len(positive) :] @ explicit[marking].T if negative else np.zeros((0, 1))
+    hard = spread(explicit[len(positive) :], np.argsort(-close.max(axis=1), kind="stable")[: 8 * LANDMARKS], LANDMARKS)
+    phi = explicit[[*marking, *(len(positive) + h for h in hard)]]
+    values, vectors = np.linalg.eigh((phi @ phi.T).astype(float) + 1e-3 * np.eye(len(phi)))
     root = vectors / np.sqrt(values) @ vectors.T
-    features = np.concatenate([explicit(part, columns) @ phi.T for part in chunks(positive + negative)]) @ root
+    features = explicit @ phi.T @ root
     y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
-    even = np.where(y > 0, len(y) / (2 * len(positive)), len(y) / (2 * max(len(negative), 1)))
-    w = fit_svm(features, y, even)
+    # Words of many toxic texts weigh more; those of a few stand there by chance, more often than not.
+    often = np.clip(marks["bad"].to_numpy(float) / 5, 0.2, 20)
+    w = fit_svm(features, y, np.concatenate([often, np.ones(len(negative))]))
     weights = np.zeros(SYMBOLS**3, np.float32)
     weights[columns] = (root @ w[:-1]) @ phi
     held = rows.sparkSession.sparkContext.broadcast((weights, float(w[-1])))
@@ -224,10 +240,6 @@ def learn(labelled: DataFrame, key: str = "doc_id", text: str = "text", toxic: s
     return weights, float(w[-1]), slope, offset
 
 
-def chunks(words: list[str], size: int = 128):
-    return (words[i : i + size] for i in range(0, len(words), size))
-
-
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` without its text, with score and predicted."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
