@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transferlens.llm import content_sort, language, mixing, toxicity, url_trees, wavelet
+from transferlens.llm import anchors, content_sort, language, mixing, suffixes, toxicity, url_trees, wavelet
 from transferlens.llm.common import held_out, table
 
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
@@ -23,6 +23,16 @@ def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs.select("doc_id", fold.alias("held_out"), "text"), model)
 
 
+def word_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = anchors.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.withColumnRenamed("key", "doc_id")
+
+
+def byte_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.withColumnRenamed("key", "doc_id")
+
+
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = content_sort.exact_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.withColumnsRenamed({"key": "doc_id", "keep": "keep_id"})
@@ -56,11 +66,13 @@ def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": toxic,
+        "op3_fixed_blocks": word_repeats,
         "op4_exact_dedup": exact_dedup,
         "op5_source_mix": source_mix,
         "op6_url_filter": url_filter,
         "op7_token_wavelet": tokens,
         "op8_language": languages,
+        "op10_suffixes": byte_repeats,
     }
 
 
