@@ -51,24 +51,30 @@ def powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out)
 
 
+def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Where words start and stop, the first word of each text, and 64-bit hashes of the words."""
+    solid = ~SPACE[data]
+    starts, stops = solid.copy(), solid.copy()
+    starts[1:] &= ~solid[:-1]
+    stops[:-1] &= ~solid[1:]
+    inner = ends[1:-1][(ends[1:-1] > 0) & (ends[1:-1] < len(data))]
+    starts[inner] |= solid[inner]
+    stops[inner - 1] |= solid[inner - 1]
+    starts, stops = np.flatnonzero(starts), np.flatnonzero(stops) + 1
+    # A word's hash: its part of the running polynomial, moved to power 0.
+    running = np.concatenate([[np.uint64(0)], np.cumsum(BYTES[data] * powers(repeats.BASE, len(data)), dtype=np.uint64)])
+    back = powers(INVERSE, len(data) + 1)
+    word = repeats.mixed((running[stops] - running[starts]) * back[starts] + (stops - starts).astype(np.uint64))
+    bounds = np.searchsorted(starts, ends)
+    return starts, stops, bounds, word
+
+
 class FixedBlocks:
     columns = "key bigint, n_words bigint, n_removed bigint, kept_sha256 string"
     anchors_per_byte = 1 / 6
 
     def read(self, data: np.ndarray, ends: np.ndarray, alive: np.ndarray) -> Words:
-        solid = ~SPACE[data]
-        starts, stops = solid.copy(), solid.copy()
-        starts[1:] &= ~solid[:-1]
-        stops[:-1] &= ~solid[1:]
-        inner = ends[1:-1][(ends[1:-1] > 0) & (ends[1:-1] < len(data))]
-        starts[inner] |= solid[inner]
-        stops[inner - 1] |= solid[inner - 1]
-        starts, stops = np.flatnonzero(starts), np.flatnonzero(stops) + 1
-        # A word's hash: its part of the running polynomial, moved to power 0.
-        running = np.concatenate([[np.uint64(0)], np.cumsum(BYTES[data] * powers(repeats.BASE, len(data)), dtype=np.uint64)])
-        back = powers(INVERSE, len(data) + 1)
-        word = repeats.mixed((running[stops] - running[starts]) * back[starts] + (stops - starts).astype(np.uint64))
-        bounds = np.searchsorted(starts, ends)
+        starts, stops, bounds, word = word_hashes(data, ends)
         counts = np.diff(bounds)
         owner = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
         nth = np.arange(len(starts)) - np.repeat(bounds[:-1], counts)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transferlens.llm import anchors, content_sort, language, mixing, suffixes, toxicity, url_trees, wavelet
+from transferlens.llm import anchors, content_sort, decontamination, language, mixing, probminhash, suffixes, toxicity, url_trees, wavelet
 from transferlens.llm.common import held_out, table
 
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
@@ -23,11 +23,22 @@ def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs.select("doc_id", fold.alias("held_out"), "text"), model)
 
 
+def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = decontamination.judged(docs, table(spark, sf_dir, "benchmark"))
+    return rows.withColumnsRenamed({"key": "doc_id", "item": "item_id"})
+
+
 def word_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = anchors.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.withColumnRenamed("key", "doc_id")
 
 
+def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = probminhash.near_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select(F.col("key").alias("doc_id"), "class_id", (F.col("key") == F.col("class_id")).alias("kept"))
+
+
 def byte_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.withColumnRenamed("key", "doc_id")
@@ -66,12 +77,14 @@ def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": toxic,
+        "op2_template_leaks": benchmark_leaks,
         "op3_fixed_blocks": word_repeats,
         "op4_exact_dedup": exact_dedup,
         "op5_source_mix": source_mix,
         "op6_url_filter": url_filter,
         "op7_token_wavelet": tokens,
         "op8_language": languages,
+        "op9_probminhash": near_dedup,
         "op10_suffixes": byte_repeats,
     }
 
