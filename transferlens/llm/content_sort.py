@@ -70,6 +70,8 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", parti
     parts = found.groupBy("text_sha256", "first", "part").agg(F.count("*").alias("n"))
     start = F.struct(F.col("first").isNull().alias("last"), F.col("first"), F.col("part"))
     groups = parts.groupBy("text_sha256").agg(F.min(start).alias("start"), F.sum("n").alias("group_size"))
+    # Written out, so that both sides of the join are shuffled and a hot digest can be split.
+    groups = staged(groups, "groups")
     kept = F.col("head") & F.col("first").eqNullSafe(F.col("start.first")) & (F.col("part") == F.col("start.part"))
     return found.join(groups, "text_sha256").select(
         "key", F.col("start.first").alias("keep"), "group_size", kept.alias("kept"), "text_sha256")

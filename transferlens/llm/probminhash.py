@@ -153,10 +153,12 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """One row per document: key, class_id (the smallest key of its class), text_id (the smallest key with its text)."""
     rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     signed = staged(rows.mapInArrow(sign, "key bigint, digest binary, bands array<bigint>"), "signed")
-    first = signed.groupBy("digest").agg(F.min("key").alias("text_id"))
+    # Tables that are joined on a hot key are written out first, so that both sides are shuffled and the key can be split.
+    first = staged(signed.groupBy("digest").agg(F.min("key").alias("text_id")), "first")
     texts = staged(signed.join(first, "digest").select("key", "text_id", "bands"), "texts")
     held = texts.filter("key = text_id").dropDuplicates(["key"]).select("key", F.explode("bands").alias("band"))
     hubs = held.groupBy("band").agg(F.min("key").alias("hub"), F.count("*").alias("n")).filter("n > 1")
+    hubs = staged(hubs, "hubs")
     buckets = staged(held.join(hubs, "band"), "buckets")
     pairs = staged(buckets.filter("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct(), "pairs")
     wanted = pairs.select(F.col("a").alias("_k")).union(pairs.select("b")).union(buckets.filter("n > 2").select("key")).distinct()
@@ -197,7 +199,7 @@ def outside(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     sizes = named.groupBy("band", "component").agg(F.count("*").alias("size"))
     largest = sizes.groupBy("band").agg(F.max(F.struct(F.col("size"), -F.col("component"))).alias("top"), F.count("*").alias("kinds"))
     largest = largest.filter("kinds > 1").select("band", (-F.col("top.col2")).alias("main"))
-    return named.join(largest, "band").select("band", "key", "component", (F.col("component") != F.col("main")).alias("outside"))
+    return named.join(staged(largest, "largest"), "band").select("band", "key", "component", (F.col("component") != F.col("main")).alias("outside"))
 
 
 def drop_near(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

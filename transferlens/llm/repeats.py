@@ -144,7 +144,8 @@ def whole_copies(chunks: DataFrame) -> DataFrame:
 
     rows = chunks.select("chunk", "ids", "digests").mapInArrow(digests, "chunk bigint, place int, id bigint, digest binary")
     rows = staged(rows, "digests")
-    first = rows.groupBy("digest").agg(F.min("id").alias("first"))
+    # Written out, so that both sides of the join are shuffled and a hot digest can be split.
+    first = staged(rows.groupBy("digest").agg(F.min("id").alias("first")), "first")
     copies = rows.join(first, "digest").filter("id > first")
     return staged(copies.groupBy("chunk").agg(F.collect_list("place").alias("copies")), "copies")
 
