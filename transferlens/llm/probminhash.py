@@ -7,10 +7,12 @@ once. Two texts agree in a register with the probability Jaccard similarity of t
 registers make texts of similarity 0.8 candidates with a chance above 0.9999999 (above 0.999 at 0.7).
 
 Candidates are verified on their whole sets of shingles: a link needs a Jaccard similarity of at least 0.8. Equal texts
-are one text from the start. In each band's bucket all texts are first verified against the smallest one, which
-costs one pair per text; in a bucket that then still holds several components, every text outside its largest component is
-verified against all others, a few texts of a bucket per round, until no bucket has an unverified pair between two
-components. So a large group of copies costs about one pair per text, and no link between components is lost.
+are one text from the start. In each band's bucket all texts are first verified against the smallest one, which costs one
+pair per text. Buckets that then still hold several components are searched for links between these: all pairs of
+components in buckets of up to 16 texts; in larger ones each text outside the largest component meets one text inside
+it and one outside, others in each of its up to 32 buckets and in each turn, until a turn finds no link. Pairs stay
+proportional to texts, whatever the size of a group. A link is found without fail if its texts share a small bucket or meet a hub
+that is similar to both; otherwise by the turns, which is very likely but not certain.
 
 Defined cases: null and empty texts (and texts of white space alone) are equal only to identical ones; null keys are
 left out of pairs and are classes of their own; rows that repeat a key and a text are one text; an empty table gives an empty result.
@@ -37,7 +39,7 @@ SIMILAR = 0.8
 BANDS = 32
 ROWS = 4
 REGISTERS = BANDS * ROWS
-AT_ONCE = 4
+SMALL = 16
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 STEPS = (1, 1, 2, 4, 8, 16)
 
@@ -166,27 +168,17 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     own = texts.filter("key = text_id").select(F.col("key").alias("_k")).distinct()
     sets = staged(sets.mapInArrow(pack_sets, "key bigint, set binary").join(own, F.col("key") == F.col("_k"), "left_semi"), "sets")
     links = staged(verified(pairs, sets), "links")
-    labels, tested, done = components(links), pairs, None
+    labels, tested, turn = components(links), pairs, 0
     while True:
-        rest = outside(buckets.filter("n > 2"), labels)
-        open_ = rest.filter("outside")
-        if done is not None:
-            open_ = open_.join(done, ["band", "key"], "left_anti")
-        turn = Window.partitionBy("band").orderBy(F.xxhash64("key"), "key")
-        now = staged(open_.withColumn("turn", F.row_number().over(turn)).filter(F.col("turn") <= AT_ONCE).select("band", "key", "component"), "outside")
-        if now.isEmpty():
-            break
-        others = rest.select("band", F.col("key").alias("other"), F.col("component").alias("others"))
-        more = now.join(others, "band").filter("component <> others")
-        more = more.select(F.greatest("key", "other").alias("a"), F.least("key", "other").alias("b")).distinct()
-        more = staged(more.join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested = tested.unionByName(more)
-        turns = now.select("band", "key")
-        done = turns if done is None else done.union(turns)
+        rest = staged(outside(buckets.filter("n > 2"), labels), "rest")
+        more = across(rest, turn).join(tested, ["a", "b"], "left_anti")
+        more = staged(more, "pairs")
         added = staged(verified(more, sets), "links")
-        if not added.isEmpty():
-            links = links.union(added)
-            labels = components(links)
+        if added.isEmpty():
+            break
+        tested, turn = tested.unionByName(more), turn + 1
+        links = links.union(added)
+        labels = components(links)
     classes = labels.select(F.col("node").alias("text_id"), "component")
     joined = texts.select("key", "text_id").join(classes, "text_id", "left")
     return joined.select("key", F.coalesce("component", "text_id").alias("class_id"), "text_id")
@@ -195,11 +187,24 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 def outside(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of the buckets that hold several components, and whether they are outside the bucket's largest one."""
     named = buckets.join(labels, buckets["key"] == labels["node"], "left")
-    named = named.select("band", "key", F.coalesce("component", "key").alias("component"))
+    named = staged(named.select("band", "n", "key", F.coalesce("component", "key").alias("component")), "named")
     sizes = named.groupBy("band", "component").agg(F.count("*").alias("size"))
     largest = sizes.groupBy("band").agg(F.max(F.struct(F.col("size"), -F.col("component"))).alias("top"), F.count("*").alias("kinds"))
-    largest = largest.filter("kinds > 1").select("band", (-F.col("top.col2")).alias("main"))
-    return named.join(staged(largest, "largest"), "band").select("band", "key", "component", (F.col("component") != F.col("main")).alias("outside"))
+    largest = staged(largest.filter("kinds > 1").select("band", (-F.col("top.col2")).alias("main")), "largest")
+    return named.join(largest, "band").select("band", "n", "key", "component", (F.col("component") != F.col("main")).alias("outside"))
+
+
+def across(rest: DataFrame, turn: int) -> DataFrame:
+    """Pairs between components of a bucket: all of them in a small bucket; in a large one each text outside its largest
+    component with one text of that component and one text outside, others in every bucket and turn."""
+    outer = rest.filter("outside")
+    small = outer.filter(F.col("n") <= SMALL).join(rest.select("band", F.col("key").alias("other"), F.col("component").alias("others")), "band")
+    rank = F.struct(F.xxhash64("band", "key", F.lit(turn)).alias("rank"), F.col("key"), F.col("component"))
+    hubs = rest.filter(F.col("n") > SMALL).groupBy("band", "outside").agg(F.min(rank).alias("hub"))
+    hubs = staged(hubs.select("band", F.col("hub.key").alias("other"), F.col("hub.component").alias("others")), "hubs")
+    large = outer.filter(F.col("n") > SMALL).join(hubs, "band")
+    both = small.unionByName(large).filter("component <> others")
+    return both.select(F.greatest("key", "other").alias("a"), F.least("key", "other").alias("b")).distinct()
 
 
 def drop_near(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
