@@ -10,7 +10,7 @@ Candidates are verified on their whole sets of shingles: a link needs a Jaccard
 are one text from the start. In each band's bucket all texts are first verified against the smallest one, which costs one
 pair per text. Buckets that then still hold several components are searched for links between these: all pairs of
 components in buckets of up to 16 texts; in larger ones each text outside the largest component meets one text inside
-it and one outside, others in each of its up to 32 buckets and in each turn, until a turn finds no link. Pairs stay
+it and one outside, others in each of its up to 32 buckets and in each of up to TURNS turns. Pairs stay
 proportional to texts, whatever the size of a group. A link is found without fail if its texts share a small bucket or meet a hub
 that is similar to both; otherwise by the turns, which is very likely but not certain.
 
@@ -40,6 +40,7 @@ BANDS = 32
 ROWS = 4
 REGISTERS = BANDS * ROWS
 SMALL = 16
+TURNS = 2
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 STEPS = (1, 1, 2, 4, 8, 16)
 
@@ -169,7 +170,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     sets = staged(sets.mapInArrow(pack_sets, "key bigint, set binary").join(own, F.col("key") == F.col("_k"), "left_semi"), "sets")
     links = staged(verified(pairs, sets), "links")
     labels, tested, turn = components(links), pairs, 0
-    while True:
+    while turn < TURNS:
         rest = staged(outside(buckets.filter("n > 2"), labels), "rest")
         more = across(rest, turn).join(tested, ["a", "b"], "left_anti")
         more = staged(more, "pairs")
