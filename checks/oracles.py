@@ -171,7 +171,12 @@ def _with(*ctes: str, body: str) -> str:
 
 
 def _since(days: int) -> str:
-    return f"block_timestamp >= timestamp '{AS_OF}' - INTERVAL {days} DAY"
+    end = f"timestamp '{AS_OF}'"
+    return f"(block_timestamp >= {end} - INTERVAL {days} DAY AND block_timestamp <= {end})"
+
+
+def _before(days: int) -> str:
+    return f"block_timestamp < timestamp '{AS_OF}' - INTERVAL {days} DAY"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -398,7 +403,7 @@ def oracle_sql() -> dict[str, str]:
         body=f"""SELECT contract_address, symbol, recent_transfers, historical_transfers,
                  round(cast(recent_transfers AS DOUBLE) / historical_transfers * 100, 4) AS growth_rate_percent
           FROM (SELECT contract_address, count(*) FILTER ({_since(30)}) AS recent_transfers,
-                       count(*) FILTER (NOT {_since(30)}) AS historical_transfers
+                       count(*) FILTER ({_before(30)}) AS historical_transfers
                 FROM transfers GROUP BY contract_address) tokens
           LEFT JOIN metadata USING (contract_address)
           WHERE recent_transfers > 100 AND historical_transfers > 100

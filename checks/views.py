@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from transferlens.functions.amounts import DECIMAL38
 from transferlens.schema import TRANSFER_TOPIC
 
-AS_OF = "2024-04-30 00:00:00"
+AS_OF = "2024-04-10 00:00:00"
 TODAY = "2024-04-29"
 PERIOD = 120 * 86400
 

@@ -112,11 +112,19 @@ def test_bounds_of_time_filters(rows):
     days = activity.activity_between(t, "2024-01-01 00:00:00", "2024-01-03 00:00:00").collect()
     assert [(r.date, r.daily_transfers) for r in days] == [(datetime.date(2024, 1, 3), 1), (datetime.date(2024, 1, 1), 2)]
     assert activity.today_activity(t, day="2024-01-01").first().today_transfers == 2
-    assert [r.daily_transfers for r in activity.daily_activity(t, as_of="2024-01-02 00:00:00", days=1).collect()] == [1, 2]
+    assert [r.daily_transfers for r in activity.daily_activity(t, as_of="2024-01-02 00:00:00", days=1).collect()] == [2]
+    assert [r.daily_transfers for r in activity.daily_activity(t, as_of="2024-01-03 00:00:00", days=3).collect()] == [1, 2]
     assert [r.day_name for r in activity.day_of_week_pattern(t, as_of="2024-01-04 00:00:00").collect()] == ["Monday", "Wednesday"]
     assert activity.daily_activity(t).count() == 0
 
 
+def test_null_keys_count_exactly_and_approximately(rows, names):
+    t = rows([(None, "a", "b", "1", "2024-01-01 00:00:00"), ("t", "a", "c", "2", "2024-01-01 00:00:00")])
+    for approx in (False, True):
+        found = activity.top_active_tokens(t, names(("x", "X", "X", 1)), approx=approx).collect()
+        assert {r.contract_address for r in found} == {None, "t"}
+
+
 def test_popular_symbols_repeat_equal_names(names):
     m = names(("1", "B", "S", 1), ("2", "A", "S", 1), ("3", "B", "S", 1), ("4", "C", "T", 1), ("5", "D", "", 1), ("6", "E", "", 1))
     assert [tuple(r) for r in discovery.popular_symbols(m).collect()] == [("S", 3, "A, B, B")]

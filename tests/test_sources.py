@@ -204,3 +204,34 @@ def test_metadata_files(spark, tmp_path):
     }
     summary = {r.chain_id: (r.token_count, r.unique_symbols) for r in metadata.metadata_summary(loaded).collect()}
     assert summary == {1: (2, 1), 130: (1, 1)}
+
+
+def test_a_last_block_that_moves_to_another_day_leaves_no_rows(spark, rows, tmp_path):
+    from pyspark.sql import functions as F
+
+    path = str(tmp_path / "moved")
+    old = rows([("t", "a", "b", "1", "2024-01-01 00:00:00"), ("t", "a", "b", "2", "2024-01-02 00:00:00")])
+    old = old.withColumn("transaction_hash", F.lit(None).cast("string"))
+    transfers.write_transfers(old, path)
+    before = {r.block_number: r.db_write_timestamp for r in transfers.read_transfers(spark, path, 130).collect()}
+    new = old.filter("block_number = 11").withColumn("block_timestamp", F.to_timestamp(F.lit("2024-01-03 00:00:00")))
+    assert transfers.replace_last_block(spark, path, new, 130) == 11
+    after = transfers.read_transfers(spark, path, 130).collect()
+    assert sorted((r.block_number, str(r.block_date)) for r in after) == [(10, "2024-01-01"), (11, "2024-01-03")]
+    assert {r.block_number: r.db_write_timestamp for r in after}[10] == before[10]
+
+
+def test_metadata_of_other_chains_stays(spark, tmp_path):
+    import json
+
+    folder, table = tmp_path / "in", str(tmp_path / "names")
+    folder.mkdir()
+    for chain, decimals in ((1, 18.0), (130, 6)):
+        (folder / f"tokenMetadata_{chain}.json").write_text(json.dumps({"0xA": {"name": "A", "symbol": "A", "decimals": decimals}}))
+    metadata.write_metadata(metadata.load_metadata(spark, str(folder)), table)
+    (folder / "tokenMetadata_130.json").unlink()
+    (folder / "tokenMetadata_1.json").write_text(json.dumps({"0xB": {"name": "B", "symbol": "B", "decimals": 8}, "0xC": {"name": "C", "symbol": "C", "decimals": 1.5}}))
+    metadata.write_metadata(metadata.load_metadata(spark, str(folder)), table)
+    found = {(r.chain_id, r.contract_address, r.decimals) for r in metadata.read_metadata(spark, table).collect()}
+    assert found == {(1, "0xb", 8), (130, "0xa", 6)}
+    assert [r.reason for r in metadata.metadata_rejects(spark, str(folder)).collect()] == ["decimals is not a whole number of 16 bits"]

@@ -35,9 +35,19 @@ def since(t: DataFrame, start: Column) -> Column:
     return condition & (F.col(DAY) >= F.to_date(start)) if DAY in t.columns else condition
 
 
+def until(t: DataFrame, as_of: AsOf = None) -> Column:
+    """Whether a transfer is not later than ``as_of``; true where none is given."""
+    if as_of is None:
+        return F.lit(True)
+    end = instant(t, as_of)
+    condition = F.col(TIME) <= end
+    return condition & (F.col(DAY) <= F.to_date(end)) if DAY in t.columns else condition
+
+
 def last_days(t: DataFrame, days: int | None, as_of: AsOf = None) -> DataFrame:
-    """Transfers from ``as_of`` minus ``days`` on; ``None`` keeps all of them."""
-    return t if days is None else t.filter(since(t, days_before(t, days, as_of)))
+    """Transfers from ``as_of`` minus ``days`` up to ``as_of``; without ``days`` all up to it."""
+    known = t if as_of is None else t.filter(until(t, as_of))
+    return known if days is None else known.filter(since(t, days_before(t, days, as_of)))
 
 
 def between(t: DataFrame, start: str | datetime, end: str | datetime) -> DataFrame:

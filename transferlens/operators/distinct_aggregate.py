@@ -32,6 +32,8 @@ def aggregate_with_distincts(
     measured, counted = aggregate(t, keys, measures, totals), t.groupBy(*keys).agg(*counts)
     if keys:
         names = t.select(*keys).columns
-        return measured.join(counted, names)
+        other = counted.withColumnsRenamed({name: f"_{name}" for name in names})
+        same = [measured[name].eqNullSafe(other[f"_{name}"]) for name in names]
+        return measured.join(other, same).drop(*(f"_{name}" for name in names))
     row = counted.select(F.struct(*distincts)).scalar()
     return measured.select("*", *(row[name].alias(name) for name in distincts))

@@ -116,7 +116,8 @@ def fastest_growing(
     """Recent transfers as a percentage of all earlier ones; the two periods differ in length."""
     recent = F.col("block_timestamp") >= periods.days_before(t, days, as_of)
     tokens = (
-        t.groupBy("contract_address")
+        periods.last_days(t, None, as_of)
+        .groupBy("contract_address")
         .agg(
             F.count_if(recent).alias("recent_transfers"),
             F.count_if(~recent).alias("historical_transfers"),

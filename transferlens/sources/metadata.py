@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from transferlens.schema import TOKEN_METADATA
 
 FILE_NAME = r"tokenMetadata_(\d+)\.json"
-# Decimals are parsed as a number; a quoted number or any other type becomes NULL.
-ENTRIES = "map<string, struct<name: string, symbol: string, decimals: smallint>>"
+# Decimals are parsed as a JSON number; a quoted number or any other type becomes NULL.
+ENTRIES = "map<string, struct<name: string, symbol: string, decimals: double>>"
+LEAST, MOST = -32768, 32767
 
 
 def read_metadata_files(spark: SparkSession, path: str) -> DataFrame:
@@ -34,16 +35,22 @@ def _entries(spark: SparkSession, path: str) -> DataFrame:
         "token",
         F.col("data.name").alias("name"),
         F.col("data.symbol").alias("symbol"),
-        F.col("data.decimals").alias("decimals"),
+        F.col("data.decimals").alias("number"),
+        F.when(_whole(F.col("data.decimals")), F.col("data.decimals")).cast("smallint").alias("decimals"),
     )
 
 
+def _whole(number: Column) -> Column:
+    return (number == F.floor(number)) & number.between(LEAST, MOST)
+
+
 def _reason() -> Column:
     return (
         F.when(F.col("token").isNull(), "file is not a JSON object of tokens")
         .when(F.coalesce(F.col("name"), F.lit("")) == "", "name is missing or empty")
         .when(F.coalesce(F.col("symbol"), F.lit("")) == "", "symbol is missing or empty")
-        .when(F.col("decimals").isNull(), "decimals is not a number")
+        .when(F.col("number").isNull(), "decimals is not a number")
+        .when(~_whole(F.col("number")), "decimals is not a whole number of 16 bits")
     )
 
 
@@ -71,12 +78,15 @@ def metadata_rejects(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_metadata(m: DataFrame, path: str) -> None:
-    """Replace the stored metadata of all chains, sorted for lookups by address."""
+    """Replace the stored metadata of the chains in ``m`` and keep all others; sorted for lookups by address."""
+    if m.isEmpty():
+        raise ValueError("no valid token metadata to write")
     (
         m.select(*(f.name for f in TOKEN_METADATA.fields))
         .hint("rebalance", F.col("chain_id"))
         .sortWithinPartitions("chain_id", "contract_address")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("chain_id")
         .option("parquet.bloom.filter.enabled#contract_address", "true")
         .option("parquet.bloom.filter.enabled#symbol", "true")

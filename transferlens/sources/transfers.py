@@ -51,11 +51,11 @@ def write_transfers(t: DataFrame, path: str, mode: str = "append") -> None:
 
     ``rebalance`` shuffles by partition; adaptive execution then splits hot days and merges small ones, so
     files have an even size whatever the days look like. The sort gives row groups narrow token ranges, and
-    bloom filters let lookups of one token or one address skip row groups.
+    bloom filters let lookups of one token or one address skip row groups. Rows that have a write time keep it.
     """
-    landed = t.withColumns(
-        {"block_date": F.to_date("block_timestamp"), "db_write_timestamp": F.current_timestamp()}
-    )
+    now = F.current_timestamp()
+    written = F.coalesce("db_write_timestamp", now) if "db_write_timestamp" in t.columns else now
+    landed = t.withColumns({"block_date": F.to_date("block_timestamp"), "db_write_timestamp": written})
     columns = [f.name for f in transfers_schema().fields]
     (
         landed.select(*columns)
@@ -116,13 +116,25 @@ def replace_last_block(
     write_transfers(new.filter(of_chain & (F.col("block_number") >= last)), staged)
     if old is not None:
         days = read_transfers(spark, staged, amounts=amounts).select("block_date")
-        days = days.union(old.filter(F.col("block_number") == last).select("block_date")).distinct()
+        of_block = old.filter(F.col("block_number") == last).select("block_date").distinct()
+        of_block = spark.createDataFrame(of_block.collect(), of_block.schema)  # the few days of one block
+        days = days.union(of_block).distinct()
         kept = old.filter(F.col("block_number") < last).join(days, "block_date", "left_semi")
         write_transfers(kept, staged)
+        lost = of_block.join(read_transfers(spark, staged, amounts=amounts), "block_date", "left_anti")
     write_transfers(read_transfers(spark, staged, amounts=amounts), path, mode="overwrite")
+    if old is not None:
+        # Days of the old last block that got no rows are not overwritten, so their partitions go.
+        for row in lost.collect():
+            delete_folder(spark, f"{path}/chain_id={int(chain_id)}/block_date={row['block_date']}")
     return last
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def ingest_stats(t: DataFrame, by: str | None = None) -> DataFrame:
     """Events, total value and events per second; ``by="db_write_timestamp"`` gives one row per batch.
 
@@ -148,6 +160,5 @@ def drop_chain(spark: SparkSession, path: str, chain_id: int, amounts: str = "u2
     landed = landed_or_none(spark, path, amounts)
     rows = 0 if landed is None else landed.filter(F.col("chain_id") == check_chain(chain_id)).count()
     if rows:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/chain_id={int(chain_id)}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        delete_folder(spark, f"{path}/chain_id={int(chain_id)}")
     return rows
