@@ -106,7 +106,7 @@ def test_content_sort(docs, texts, empty):
     assert content_sort.drop_copies(docs).columns == docs.columns
 
 
-def test_near_classes_against_brute_force(docs, texts, empty):
+def near_labels(texts):
     def shingles(t):
         w = re.findall(r"[^\x20\x09-\x0D]+", t or "")
         return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) > 4 else {tuple(w)} - {()}
@@ -118,6 +118,27 @@ def test_near_classes_against_brute_force(docs, texts, empty):
             if (texts[a] or "") == (texts[b] or "") or both and len(both) >= 0.8 * len(sets[a] | sets[b]):
                 low, high = sorted((label[a], label[b]))
                 label = {i: low if x == high else x for i, x in label.items()}
+    return label
+
+
+def test_near_classes_of_large_buckets_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(probminhash, "BLOCK", 20)
+    rng = random.Random(11)
+    base = [f"w{k}" for k in range(120)]
+    texts = {}
+    for i in range(150):
+        words = list(base)
+        for k in rng.sample(range(120), rng.choice([1, 2, 3, 4, 5])):
+            words[k] = f"other{rng.randint(0, 3)}"
+        texts[i] = " ".join(words)
+    label = near_labels(texts)
+    assert 3 < len(set(label.values())) < 100
+    found = by_key(probminhash.near_classes(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")))
+    assert {i: r.class_id for i, r in found.items()} == label
+
+
+def test_near_classes_against_brute_force(docs, texts, empty):
+    label = near_labels(texts)
     found = by_key(probminhash.near_classes(docs))
     assert {i: r.class_id for i, r in found.items()} == label and len(set(label.values())) < len(label)
     assert probminhash.near_classes(empty).count() == 0

@@ -9,10 +9,10 @@ registers make texts of similarity 0.8 candidates with a chance above 0.9999999
 Candidates are verified on their whole sets of shingles: a link needs a Jaccard similarity of at least 0.8. Equal texts
 are one text from the start. In each band's bucket all texts are first verified against the smallest one, which costs one
 pair per text. Buckets that then still hold several components are searched for links between these: all pairs of
-components in buckets of up to 16 texts; in larger ones each text outside the largest component meets one text inside
-it and one outside, others in each of its up to 32 buckets and in each of up to TURNS turns. Pairs stay
-proportional to texts, whatever the size of a group. A link is found without fail if its texts share a small bucket or meet a hub
-that is similar to both; otherwise by the turns, which is very likely but not certain.
+components in buckets of up to 16 texts; in larger ones each text outside the largest component first meets one text inside
+it and one outside. What is outside even then is compared with the whole bucket, in blocks of about BLOCK by BLOCK
+texts: a task multiplies two incidence matrices and returns only the links that join components, fewer than its
+texts. No pair of a bucket that could change a class goes unseen; pairs inside a component are never compared.
 
 Defined cases: null and empty texts (and texts of white space alone) are equal only to identical ones; null keys are
 left out of pairs and are classes of their own; rows that repeat a key and a text are one text; an empty table gives an empty result.
@@ -40,7 +40,9 @@ BANDS = 32
 ROWS = 4
 REGISTERS = BANDS * ROWS
 SMALL = 16
-TURNS = 2
+BLOCK = 512
+BLOCK_BYTES = 8 << 20
+SLAB = 1 << 23
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 STEPS = (1, 1, 2, 4, 8, 16)
 
@@ -169,17 +171,17 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     own = texts.filter("key = text_id").select(F.col("key").alias("_k")).distinct()
     sets = staged(sets.mapInArrow(pack_sets, "key bigint, set binary").join(own, F.col("key") == F.col("_k"), "left_semi"), "sets")
     links = staged(verified(pairs, sets), "links")
-    labels, tested, turn = components(links), pairs, 0
-    while turn < TURNS:
-        rest = staged(outside(buckets.filter("n > 2"), labels), "rest")
-        more = across(rest, turn).join(tested, ["a", "b"], "left_anti")
-        more = staged(more, "pairs")
-        added = staged(verified(more, sets), "links")
-        if added.isEmpty():
-            break
-        tested, turn = tested.unionByName(more), turn + 1
-        links = links.union(added)
+    labels = components(links)
+    rest = staged(outside(buckets.filter("n > 2"), labels), "rest")
+    more = staged(across(rest).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    added = staged(verified(more, sets), "links")
+    if not added.isEmpty():
+        links = staged(links.union(added), "links")
         labels = components(links)
+        rest = staged(outside(buckets.filter("n > 2"), labels), "rest")
+    added = staged(between(rest, sets), "links")
+    if not added.isEmpty():
+        labels = components(links.select("a", "b").union(added))
     classes = labels.select(F.col("node").alias("text_id"), "component")
     joined = texts.select("key", "text_id").join(classes, "text_id", "left")
     return joined.select("key", F.coalesce("component", "text_id").alias("class_id"), "text_id")
@@ -195,12 +197,12 @@ def outside(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     return named.join(largest, "band").select("band", "n", "key", "component", (F.col("component") != F.col("main")).alias("outside"))
 
 
-def across(rest: DataFrame, turn: int) -> DataFrame:
+def across(rest: DataFrame) -> DataFrame:
     """Pairs between components of a bucket: all of them in a small bucket; in a large one each text outside its largest
-    component with one text of that component and one text outside, others in every bucket and turn."""
+    component with one text of that component and one text outside, others in every bucket."""
     outer = rest.filter("outside")
     small = outer.filter(F.col("n") <= SMALL).join(rest.select("band", F.col("key").alias("other"), F.col("component").alias("others")), "band")
-    rank = F.struct(F.xxhash64("band", "key", F.lit(turn)).alias("rank"), F.col("key"), F.col("component"))
+    rank = F.struct(F.xxhash64("band", "key").alias("rank"), F.col("key"), F.col("component"))
     hubs = rest.filter(F.col("n") > SMALL).groupBy("band", "outside").agg(F.min(rank).alias("hub"))
     hubs = staged(hubs.select("band", F.col("hub.key").alias("other"), F.col("hub.component").alias("others")), "hubs")
     large = outer.filter(F.col("n") > SMALL).join(hubs, "band")
@@ -208,6 +210,73 @@ def across(rest: DataFrame, turn: int) -> DataFrame:
     return both.select(F.greatest("key", "other").alias("a"), F.least("key", "other").alias("b")).distinct()
 
 
+def between(rest: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) that join components in large buckets: every text outside the largest component against the whole bucket.
+
+    A bucket is cut by hash into blocks that hold few texts and few bytes, so that no task sees a whole one.
+    """
+    large = rest.filter(F.col("n") > SMALL).join(sets.select(F.col("key").alias("_k"), "set"), F.col("key") == F.col("_k"))
+    large = staged(large.select("band", "key", "component", "outside", "set"), "large")
+
+    def many(side):
+        return F.ceil(F.greatest(F.sum(side) / BLOCK, F.sum(F.length("set") * side) / BLOCK_BYTES)).cast("int")
+
+    shape = staged(large.groupBy("band").agg(many(F.col("outside").cast("int")).alias("rows"), many(F.lit(1)).alias("columns")), "shape")
+    cut = large.join(shape, "band")
+    at = F.xxhash64("key")
+    left = cut.filter("outside").select("band", "key", "component", "set", F.lit(True).alias("outside"), F.pmod(at, "rows").cast("int").alias("i"),
+                                        F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("j"))
+    right = cut.select("band", "key", "component", "set", F.lit(False).alias("outside"),
+                       F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"), F.pmod(at, "columns").cast("int").alias("j"))
+    return left.union(right).groupBy("band", "i", "j").applyInArrow(joining, "a bigint, b bigint").distinct()
+
+
+def joining(block: pa.Table) -> pa.Table:
+    """Of the links between outside texts and texts of the other side, enough to join all components they join."""
+    outer = block.column("outside").to_numpy()
+    keys, names = block.column("key").to_numpy(), block.column("component").to_numpy()
+    packed = block.column("set").to_pylist()
+    halves = []
+    for side in (outer, ~outer):
+        found = [repeats.undeltas(packed[k]) for k in np.flatnonzero(side)]
+        sizes = np.array([len(x) for x in found], np.int64)
+        halves.append((keys[side], names[side], sizes, np.concatenate([np.zeros(0, np.uint64), *found]), np.repeat(np.arange(len(found)), sizes)))
+    (keys_a, names_a, sizes_a, a, row_a), (keys_b, names_b, sizes_b, b, row_b) = halves
+    shared = np.intersect1d(a, b)
+    both = np.zeros((len(keys_a), len(keys_b)), np.int64)
+    width = max(SLAB // max(len(keys_a) + len(keys_b), 1), 1)
+    for low in range(0, len(shared), width):
+        columns = shared[low : low + width]
+        both += np.rint(incidence(columns, a, row_a, len(keys_a)) @ incidence(columns, b, row_b, len(keys_b)).T).astype(np.int64)
+    near = both / np.maximum(sizes_a[:, None] + sizes_b[None, :] - both, 1) >= SIMILAR
+    i, j = np.nonzero(near & (names_a[:, None] != names_b[None, :]))
+    _, first = np.unique(np.column_stack([names_a[i], names_b[j]]), axis=0, return_index=True)
+    top: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while top.get(x, x) != x:
+            top[x] = x = top.get(top[x], top[x])
+        return x
+
+    kept = []
+    for k in np.sort(first):
+        x, y = root(int(names_a[i[k]])), root(int(names_b[j[k]]))
+        if x != y:
+            top[max(x, y)] = min(x, y)
+            kept.append(k)
+    ends = keys_a[i[kept]] if kept else keys[:0], keys_b[j[kept]] if kept else keys[:0]
+    return pa.table({"a": np.maximum(*ends), "b": np.minimum(*ends)})
+
+
+def incidence(columns: np.ndarray, hashes: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """n texts x columns: 1 where the text holds the shingle."""
+    at = np.minimum(np.searchsorted(columns, hashes), len(columns) - 1)
+    held = columns[at] == hashes
+    out = np.zeros((n, len(columns)), np.float32)
+    out[rows[held], at[held]] = 1
+    return out
+
+
 def drop_near(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with the smallest key of each class, one row each; documents without a key stay."""
     names = docs.columns
