@@ -32,6 +32,7 @@ SAMPLE = 12_000
 VOCABULARY = 60_000
 LANDMARKS = 96
 MARKS = 1000
+BATCH = 500
 LAMBDA = 0.6
 SPAN = 5
 COST = 10.0
@@ -125,6 +126,12 @@ def dense(found: list[tuple[np.ndarray, np.ndarray]], columns: np.ndarray) -> np
     return out
 
 
+def kernels(found: list[tuple[np.ndarray, np.ndarray]], columns: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
+    """Kernel of each word with each landmark, BATCH words at a time, so that the driver never holds them all densely."""
+    parts = [dense(found[i : i + BATCH], columns) @ landmarks.T for i in range(0, len(found), BATCH)]
+    return np.concatenate([np.zeros((0, len(landmarks)), np.float32), *parts])
+
+
 def spread(rows: np.ndarray, order: np.ndarray, most: int, alike: float = 0.7) -> list[int]:
     """The first rows along ``order`` of which no two are much alike."""
     chosen: list[int] = []
@@ -215,14 +222,14 @@ def learn(labelled: DataFrame, key: str = "doc_id", text: str = "text", toxic: s
     found = [subsequences(x) for x in [*positive, *negative]]
     # Triples that no positive word has add nothing to a kernel with one.
     columns = np.unique(np.concatenate([i for i, _ in found[: len(positive)]]))
-    explicit = np.concatenate([dense(found[i : i + 2000], columns) for i in range(0, len(found), 2000)])
-    marking = spread(explicit[: len(positive)], np.arange(len(positive)), LANDMARKS)
-    close = explicit[len(positive) :] @ explicit[marking].T if negative else np.zeros((0, 1))
-    hard = spread(explicit[len(positive) :], np.argsort(-close.max(axis=1), kind="stable")[: 8 * LANDMARKS], LANDMARKS)
-    phi = explicit[[*marking, *(len(positive) + h for h in hard)]]
+    landmarks = dense(found[: len(positive)], columns)
+    landmarks = landmarks[spread(landmarks, np.arange(len(positive)), LANDMARKS)]
+    close = kernels(found[len(positive) :], columns, landmarks).max(axis=1)
+    nearest = dense([found[len(positive) + k] for k in np.argsort(-close, kind="stable")[: 8 * LANDMARKS]], columns)
+    phi = np.concatenate([landmarks, nearest[spread(nearest, np.arange(len(nearest)), LANDMARKS)]])
     values, vectors = np.linalg.eigh((phi @ phi.T).astype(float) + 1e-3 * np.eye(len(phi)))
     root = vectors / np.sqrt(values) @ vectors.T
-    features = explicit @ phi.T @ root
+    features = kernels(found, columns, phi) @ root
     y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
     # Words of many toxic texts weigh more; those of a few stand there by chance, more often than not.
     often = np.clip(marks["bad"].to_numpy(float) / 5, 0.2, 20)
