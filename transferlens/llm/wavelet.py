@@ -15,6 +15,7 @@ longer than a shard makes a shard of its own; an empty table gives an empty resu
 
 from __future__ import annotations
 
+import os
 import zlib
 
 import numpy as np
@@ -30,7 +31,7 @@ TOKENS = 1 << 20
 BLOCK = 1 << 20
 END = 1
 STRIDE = 4096
-CACHE = 400_000
+CACHE = 120_000
 SCHEMA = "shard bigint, n_docs bigint, n_tokens bigint, keys binary, nulls binary, ends binary, alphabet binary, planes array<binary>, ones array<binary>"
 DOCS = "shard bigint, key bigint, inside bigint, n_tokens bigint, ids_crc32 bigint"
 
@@ -154,24 +155,31 @@ def record(shard: int, keys: list, lengths: np.ndarray, tokens: np.ndarray) -> d
 
 
 class WordTokens:
-    """Token ids of texts, each distinct word encoded once and remembered, up to ``CACHE`` words."""
+    """Token ids of texts, each distinct word of a block encoded once and remembered while it was used among the last
+    ``CACHE`` to twice as many distinct words."""
 
     def __init__(self, file: str):
+        # One thread per task, which is what Spark gives it; a pool of its own would cost memory for each thread.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.encode = Tokenizer.from_file(file).encode_batch_fast
-        self.known: dict[bytes, bytes] = {}
+        self.fresh: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def look_up(self, words: list[bytes]) -> list[bytes]:
-        missing = list({w for w in words if w not in self.known})
-        if len(self.known) + len(missing) > CACHE:
-            self.known.clear()
-            missing = list(set(words))
+        found = [self.fresh.get(w) or self.older.get(w) for w in words]
+        missing = list({w for w, ids in zip(words, found, strict=True) if ids is None})
+        encoded = {}
         for i in range(0, len(missing), 4096):
             part = missing[i : i + 4096]
-            found = self.encode([w.decode() for w in part], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, np.uint32).tobytes()) for w, e in zip(part, found, strict=True))
-        return [self.known[w] for w in words]
+            ids = self.encode([w.decode() for w in part], add_special_tokens=False)
+            encoded.update((w, np.array(e.ids, np.uint32).tobytes()) for w, e in zip(part, ids, strict=True))
+        found = [encoded[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
+        self.fresh.update(zip(words, found, strict=True))
+        if len(self.fresh) > CACHE:
+            self.older, self.fresh = self.fresh, {}
+        return found
 
     def tokens(self, data: np.ndarray, ends: np.ndarray, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts i to j, each closed by the end id, and the number of ids of each text."""
