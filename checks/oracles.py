@@ -201,6 +201,7 @@ def oracle_sql() -> dict[str, str]:
           FROM logs
           WHERE topic0 = '{TRANSFER_TOPIC}' AND (more <> '' OR length(topic1) <> 66 OR length(data) <> 66)""",
     )
+    sql["ingest_rejects"] = sql["decode_rejects"]
     sql["sanitize_transfers"] = _with(
         UNTIDY,
         body="""SELECT block_number, log_index, substr(transaction_hash, 1, 66) AS transaction_hash,

@@ -131,18 +131,34 @@ def write_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two deliveries of log files, the second one repeating logs of the first, into one table."""
+    """Two deliveries of log files into one table. The second one repeats the logs of the first, and the blocks of half of
+    the first come only then."""
     logs, blocks, table = (shared_folder(spark, name) for name in ("logs", "blocks", "transfers"))
     checkpoint = shared_folder(spark, "checkpoint")
-    views.blocks(spark, sf_dir).write.parquet(blocks)
-    source = views.raw_logs(spark, sf_dir)
-    highest = source.agg(F.max("block_number").alias("b")).select(F.expr("b div 2")).scalar()
-    for delivery in (source.filter(F.col("block_number") <= highest), source):
+    source, times = views.raw_logs(spark, sf_dir), views.blocks(spark, sf_dir)
+    block = F.col("block_number")
+    middle = source.agg(F.max("block_number").alias("b")).select(F.expr("b div 2")).scalar()
+    early = times.agg(F.max("block_number").alias("b")).select(F.expr("b div 4")).scalar()
+    for delivery, known in ((source.filter(block <= middle), times.filter(block <= early)), (source, times.filter(block > early))):
         delivery.write.mode("append").parquet(logs)
+        known.write.mode("append").parquet(blocks)
         ingest_stream(spark, logs, blocks, table, checkpoint).awaitTermination()
     return landed_rows(transfer_source.read_transfers(spark, table, 130))
 
 
+def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The logs that a stream could not decode, from two deliveries."""
+    names = ("logs", "blocks", "transfers", "checkpoint", "rejects")
+    logs, blocks, table, checkpoint, rejects = (shared_folder(spark, name) for name in names)
+    source = views.raw_logs(spark, sf_dir)
+    views.blocks(spark, sf_dir).write.parquet(blocks)
+    middle = source.agg(F.max("block_number").alias("b")).select(F.expr("b div 2")).scalar()
+    for delivery in (source.filter(F.col("block_number") <= middle), source.filter(F.col("block_number") > middle)):
+        delivery.write.mode("append").parquet(logs)
+        ingest_stream(spark, logs, blocks, table, checkpoint, rejects_path=rejects).awaitTermination()
+    return spark.read.parquet(rejects).drop("batch").withColumn("topics", F.array_join("topics", ","))
+
+
 def resume_point(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transfer_source.resume_point(views.transfers(spark, sf_dir))
 
@@ -264,6 +280,7 @@ def registry() -> dict[str, Query]:
         "oversize_audit": oversize_audit,
         "write_transfers": write_transfers,
         "ingest_stream": ingest,
+        "ingest_rejects": ingest_rejects,
         "resume_point": resume_point,
         "replace_last_block": replace_last_block,
         "ingest_stats": ingest_stats,

@@ -25,7 +25,7 @@ def log(block, index, value, **changes):
     base = {
         "block_number": block,
         "log_index": index,
-        "transaction_hash": word(block),
+        "transaction_hash": word(block or 0),
         "address": TOKEN.upper().replace("0X", "0x"),
         "topics": [TRANSFER_TOPIC, padded(A), padded(B)],
         "data": word(value),
@@ -50,7 +50,9 @@ def test_decode_and_rejects(spark):
     logs = logs_of(
         spark,
         log(1, 0, 2**256 - 1),
-        log(1, 1, 0, transaction_hash=None, address=None, log_index=None),
+        log(1, 1, 0, transaction_hash=None, address=None),
+        log(1, None, 6),
+        log(None, 7, 6),
         log(2, 0, 5, topics=[TRANSFER_TOPIC, padded(A), padded(B), word(9)]),
         log(2, 1, 5, data="0x01"),
         log(2, 2, 5, data=None),
@@ -60,7 +62,7 @@ def test_decode_and_rejects(spark):
         log(3, 0, 7),
     )
     decoded = raw_logs.decode_transfers(logs, blocks_of(spark, 1, 2))
-    assert shown(decoded) == [(1, 0, "0"), (1, 0, str(2**256 - 1)), (3, 0, "7")]
+    assert shown(decoded) == [(1, 0, str(2**256 - 1)), (1, 1, "0"), (3, 0, "7")]
     by_value = {r.block_number: r for r in decoded.filter("value.w4 <> 0").collect()}
     first = by_value[1]
     assert (first.contract_address, first.from_address, first.to_address) == (TOKEN, A, B)
@@ -68,13 +70,15 @@ def test_decode_and_rejects(spark):
     # Block 3 has no block row: the time is the current one.
     assert by_value[3].block_timestamp.year >= 2024
     default = decoded.filter("value.w4 = 0").first()
-    assert (default.transaction_hash, default.contract_address, default.log_index) == ("0x0", "0x0", 0)
+    assert (default.transaction_hash, default.contract_address, default.log_index) == ("0x0", "0x0", 1)
     rejects = {r.log_index: r.reason for r in raw_logs.decode_rejects(logs).collect()}
     assert rejects == {
         0: "topic count is not 3",
         1: "data is not a 32-byte word",
         2: "data is not a 32-byte word",
         3: "topic is not a 32-byte word",
+        None: "block number or log index is missing",
+        7: "block number or log index is missing",
     }
 
 
@@ -104,14 +108,44 @@ def test_stream_with_late_duplicates_and_lost_checkpoint(spark, tmp_path):
     assert stats.total_events == 7 and stats.last_block == 55
 
 
-def test_stream_without_block_times(spark, tmp_path):
+def test_stream_logs_wait_for_their_block(spark, tmp_path):
     logs, blocks, table = (str(tmp_path / name) for name in ("logs", "blocks", "table"))
-    blocks_of(spark, 1).write.parquet(blocks)
-    for checkpoint in ("one", "two"):
-        logs_of(spark, log(1, 0, 1), log(2, 0, 2)).write.mode("append").parquet(logs)
+
+    def run(*batch, checkpoint="one"):
+        if batch:
+            logs_of(spark, *batch).coalesce(1).write.mode("append").parquet(logs)
         ingest_stream(spark, logs, blocks, table, str(tmp_path / checkpoint)).awaitTermination()
-        blocks_of(spark, 2).write.mode("append").parquet(blocks)
-    assert shown(transfers.read_transfers(spark, table)) == [(1, 0, "1"), (2, 0, "2")]
+        t = transfers.read_transfers(spark, table)
+        times = {r.block_number: r.s for r in t.selectExpr("block_number", "unix_timestamp(cast(block_timestamp AS timestamp)) AS s").collect()}
+        assert all(s == 1_700_000_000 + n * 3600 for n, s in times.items())
+        return shown(t)
+
+    blocks_of(spark, 1).write.parquet(blocks)
+    assert run(log(1, 0, 1), log(2, 0, 2), log(3, 0, 3), log(3, 0, 3)) == [(1, 0, "1")]
+    assert run() == [(1, 0, "1")]
+    blocks_of(spark, 2).write.mode("append").parquet(blocks)
+    # Without new logs the next run lands what waited, once; with new logs the rest goes on waiting.
+    assert run() == [(1, 0, "1"), (2, 0, "2")]
+    for n in range(2):
+        run(log(1, n + 1, 9))
+    blocks_of(spark, 3).write.mode("append").parquet(blocks)
+    everything = [(1, 0, "1"), (1, 1, "9"), (1, 2, "9"), (2, 0, "2"), (3, 0, "3")]
+    assert run() == everything
+    assert run(log(1, 0, 1)) == everything
+
+
+def test_stream_lands_rejects_and_tells_totals(spark, tmp_path):
+    logs, blocks, table, rejects = (str(tmp_path / name) for name in ("logs", "blocks", "table", "rejects"))
+    blocks_of(spark, 1).write.parquet(blocks)
+    batch = [log(1, 0, 4), log(1, 1, 5), log(1, None, 6), log(1, 2, 7, data="0x01"), log(1, 3, 8, topics=[word(1)])]
+    logs_of(spark, *batch).coalesce(1).write.parquet(logs)
+    query = ingest_stream(spark, logs, blocks, table, str(tmp_path / "checkpoint"), rejects_path=rejects)
+    query.awaitTermination()
+    assert sorted(r.reason for r in spark.read.parquet(rejects).collect()) == [
+        "block number or log index is missing", "data is not a 32-byte word"]
+    told = [p["observedMetrics"]["ingest"] for p in query.recentProgress if "ingest" in p["observedMetrics"]]
+    assert [(int(m.events), int(m.rejects), m.total_value) for m in told] == [(2, 2, 9.0)]
+    assert shown(transfers.read_transfers(spark, table)) == [(1, 0, "4"), (1, 1, "5")]
 
 
 def test_resume_after_cut_equals_one_run(spark, tmp_path):

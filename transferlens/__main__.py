@@ -1,4 +1,4 @@
-"""Jobs for spark-submit: ``python -m transferlens ingest | load-metadata | drop-chain | query``."""
+"""Jobs for spark-submit: ``python -m transferlens ingest | resume | load-metadata | drop-chain | query``."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import json
 from transferlens.plans.catalog import ANALYTICS, run_analytic
 from transferlens.schema import CHAINS, DEFAULT_CHAIN
 from transferlens.session import build_session
-from transferlens.sources import metadata, transfers
+from transferlens.sources import metadata, raw_logs, transfers
 from transferlens.streaming.ingest import ingest_stream
 
 
@@ -20,7 +20,13 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     for name in ("logs", "blocks", "table", "checkpoint"):
         ingest.add_argument(f"--{name}", required=True)
     ingest.add_argument("--format", default="parquet")
-    ingest.add_argument("--max-files", type=int)
+    ingest.add_argument("--max-files", type=int, default=1000)
+    ingest.add_argument("--rejects", help="folder for logs that do not decode")
+
+    resume = jobs.add_parser("resume", help="decode logs again from the last stored block on, replacing that block")
+    for name in ("logs", "blocks", "table"):
+        resume.add_argument(f"--{name}", required=True)
+    resume.add_argument("--format", default="parquet")
 
     load = jobs.add_parser("load-metadata", help="replace the token metadata table from JSON files")
     load.add_argument("--files", required=True)
@@ -36,7 +42,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     query.add_argument("--output", required=True, help="folder for the result, as parquet")
     query.add_argument("--parameters", type=json.loads, default={}, help='JSON, such as {"limit": 10}')
 
-    for job in (ingest, drop, query):
+    for job in (ingest, resume, drop, query):
         job.add_argument("--chain", type=int, choices=sorted(CHAINS), default=DEFAULT_CHAIN, required=job is drop)
     return parser.parse_args(argv)
 
@@ -54,9 +60,14 @@ def main(argv: list[str] | None = None) -> None:
             chain_id=args.chain,
             fmt=args.format,
             max_files=args.max_files,
+            rejects_path=args.rejects,
         )
         run.awaitTermination()
         print(f"{sum(p['numInputRows'] for p in run.recentProgress)} logs read")
+    elif args.job == "resume":
+        logs = raw_logs.read_raw_logs(spark, args.logs, args.format)
+        decoded = raw_logs.decode_transfers(logs, raw_logs.read_blocks(spark, args.blocks, args.format), args.chain)
+        print(f"resumed at block {transfers.replace_last_block(spark, args.table, decoded, args.chain)}")
     elif args.job == "load-metadata":
         metadata.write_metadata(metadata.load_metadata(spark, args.files), args.metadata)
         metadata.metadata_summary(metadata.read_metadata(spark, args.metadata)).show(len(CHAINS))

@@ -41,9 +41,18 @@ def _topics_ok() -> Column:
     return _is_word(_topic(2)) & _is_word(_topic(3))
 
 
-def _decodable() -> Column:
-    """Three topics and 32 bytes of data. Four topics are the same event of non-fungible tokens."""
-    return _topic_count_ok() & _topics_ok() & _is_word(F.col("data"))
+def _has_identity() -> Column:
+    return F.col("block_number").isNotNull() & F.col("log_index").isNotNull()
+
+
+def decodable() -> Column:
+    """Three topics, 32 bytes of data and an identity. Four topics are the same event of non-fungible tokens."""
+    return _topic_count_ok() & _topics_ok() & _is_word(F.col("data")) & _has_identity()
+
+
+def amount() -> Column:
+    """The value of a decodable log."""
+    return u256_from_hex(F.substring("data", 3, 64))
 
 
 def _address(word: Column) -> Column:
@@ -52,20 +61,20 @@ def _address(word: Column) -> Column:
 
 def parse_logs(logs: DataFrame) -> DataFrame:
     """Decodable logs as (block_number, log_index, transaction_hash, contract_address, from_address,
-    to_address, value). Missing fields get defaults. Stateless, so it also runs on streams."""
-    return transfer_logs(logs).filter(_decodable()).select(
-        F.coalesce("block_number", F.lit(0)).alias("block_number"),
-        F.coalesce("log_index", F.lit(0)).alias("log_index"),
+    to_address, value). A missing hash or address gets a default. Stateless, so it also runs on streams."""
+    return transfer_logs(logs).filter(decodable()).select(
+        "block_number",
+        "log_index",
         F.coalesce("transaction_hash", F.lit("0x0")).alias("transaction_hash"),
         F.lower(F.coalesce("address", F.lit("0x0"))).alias("contract_address"),
         _address(_topic(2)).alias("from_address"),
         _address(_topic(3)).alias("to_address"),
-        u256_from_hex(F.substring("data", 3, 64)).alias("value"),
+        amount().alias("value"),
     )
 
 
 def with_block_time(
-    parsed: DataFrame, blocks: DataFrame, chain_id: int = DEFAULT_CHAIN, missing_time: str | None = None
+    parsed: DataFrame, blocks: DataFrame, chain_id: int = DEFAULT_CHAIN, missing_time: Column | None = None
 ) -> DataFrame:
     """Give each log the time of its own block; a log whose block is missing gets ``missing_time``, by
     default the current time.
@@ -73,7 +82,7 @@ def with_block_time(
     The logs are parsed before this join, so a shuffle moves the narrow decoded rows, not hex text. A block
     holds a bounded number of logs, so the join key has no hot values.
     """
-    default = F.current_timestamp() if missing_time is None else F.lit(missing_time).cast("timestamp")
+    default = F.current_timestamp() if missing_time is None else missing_time
     times = blocks.select("block_number", F.timestamp_seconds("timestamp").alias("block_timestamp"))
     return parsed.join(times, "block_number", "left").select(
         F.lit(check_chain(chain_id)).cast("bigint").alias("chain_id"),
@@ -97,10 +106,11 @@ def decode_rejects(logs: DataFrame) -> DataFrame:
     reason = (
         F.when(~_topic_count_ok(), "topic count is not 3")
         .when(~_topics_ok(), "topic is not a 32-byte word")
-        .otherwise("data is not a 32-byte word")
+        .when(~_is_word(F.col("data")), "data is not a 32-byte word")
+        .otherwise("block number or log index is missing")
     )
     return (
         transfer_logs(logs)
-        .filter(~_decodable())
+        .filter(~decodable())
         .select("block_number", "log_index", "transaction_hash", "address", "topics", "data", reason.alias("reason"))
     )

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from transferlens.functions.amounts import amounts_of
 from transferlens.schema import DEFAULT_CHAIN, RAW_LOGS, check_chain
-from transferlens.sources.raw_logs import parse_logs, read_blocks, with_block_time
-from transferlens.sources.transfers import IDENTITY, landed_or_none, write_transfers
-
-# Logs whose block has not landed get this time, so that their partition is known on a replay.
-UNKNOWN_TIME = "1970-01-01 00:00:00"
+from transferlens.sources.raw_logs import amount, decodable, decode_rejects, parse_logs, read_blocks, transfer_logs, with_block_time
+from transferlens.sources.transfers import IDENTITY, delete_folder, landed_or_none, write_transfers
 
 
 def not_yet_landed(batch: DataFrame, landed: DataFrame | None) -> DataFrame:
@@ -30,12 +30,25 @@ def not_yet_landed(batch: DataFrame, landed: DataFrame | None) -> DataFrame:
     if first_block is None:
         return fresh
     known = landed.filter(
-        F.col("block_number").between(first_block, last_block)
-        & (F.col("block_date").between(first_day, last_day) | (F.col("block_date") == UNKNOWN_TIME[:10]))
+        F.col("block_number").between(first_block, last_block) & F.col("block_date").between(first_day, last_day)
     )
     return fresh.join(known.select(*IDENTITY), IDENTITY, "left_anti")
 
 
+def waiting_logs(spark: SparkSession, path: str) -> DataFrame | None:
+    """Parsed logs whose block had not landed, by the ``batch`` that left them; None if there never were any.
+
+    A log that has landed since may still be among them.
+    """
+    parsed = parse_logs(spark.createDataFrame([], RAW_LOGS)).schema
+    try:
+        return spark.read.schema(T.StructType([*parsed.fields, T.StructField("batch", T.LongType())])).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def ingest_stream(
     spark: SparkSession,
     logs_path: str,
@@ -45,31 +58,69 @@ def ingest_stream(
     *,
     chain_id: int = DEFAULT_CHAIN,
     fmt: str = "parquet",
-    max_files: int | None = None,
+    max_files: int = 1000,
+    rejects_path: str | None = None,
 ) -> StreamingQuery:
     """Decode all log files that arrived since the last run, then stop.
 
     The checkpoint remembers which files were read. A batch that is replayed after a failure, or a log that
     is delivered again in a later file however late, finds its identity in the table and is not written
-    twice; so there is no watermark beyond which duplicates would slip through. ``max_files`` bounds a
-    batch. ``observedMetrics`` of the query progress carry the number of decoded events.
+    twice; so there is no watermark beyond which duplicates would slip through. ``max_files`` sizes a
+    batch; all files are read.
+
+    A log whose block has not landed waits in a folder inside the checkpoint. It is tried again at the start of each run and
+    with each batch, and lands once its block is there. With ``rejects_path``, logs that do not decode are written
+    there with their reason, by batch; a replay overwrites its batch. ``observedMetrics`` of the query progress
+    carry ``events``, ``rejects`` and ``total_value`` (a double) of the logs read.
     """
     check_chain(chain_id)
-    reader = spark.readStream.schema(RAW_LOGS).format(fmt)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    parsed = parse_logs(reader.load(logs_path)).observe("ingest", F.count(F.lit(1)).alias("events"))
+    waiting_path = f"{checkpoint}/waiting"
+    logs = transfer_logs(
+        spark.readStream.schema(RAW_LOGS).format(fmt).option("maxFilesPerTrigger", max_files).load(logs_path)
+    )
+    value = amount()
+    total = F.sum(F.when(decodable(), amounts_of(parse_logs(logs)).to_double(value)))
+    observed = logs.observe(
+        "ingest",
+        F.count_if(decodable()).alias("events"),
+        F.count_if(~decodable()).alias("rejects"),
+        F.coalesce(total, F.lit(0.0)).alias("total_value"),
+    )
 
-    def land(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        decoded = with_block_time(batch, read_blocks(session, blocks_path, fmt), chain_id, UNKNOWN_TIME).persist()
+    def land(session: SparkSession, parsed: DataFrame, waiting_to: str | None) -> None:
+        parsed = parsed.persist()
+        first, last = parsed.agg(F.min("block_number"), F.max("block_number")).first()
+        blocks = read_blocks(session, blocks_path, fmt).filter(F.col("block_number").between(first, last))
+        timed = with_block_time(parsed, blocks, chain_id, F.lit(None).cast("timestamp")).persist()
         try:
-            write_transfers(not_yet_landed(decoded, landed_or_none(session, table_path)), table_path)
+            known = timed.filter(F.col("block_timestamp").isNotNull())
+            write_transfers(not_yet_landed(known, landed_or_none(session, table_path)), table_path)
+            if waiting_to:
+                unknown = timed.filter(F.col("block_timestamp").isNull()).dropDuplicates(IDENTITY)
+                unknown.select(*parsed.columns).write.mode("overwrite").parquet(waiting_to)
         finally:
-            decoded.unpersist()
+            timed.unpersist()
+            parsed.unpersist()
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        batch = batch.persist()  # read, and observed, once
+        parsed = parse_logs(batch)
+        waiting = waiting_logs(session, waiting_path)
+        if waiting is not None:
+            parsed = parsed.unionByName(waiting.filter(F.col("batch") < batch_id).drop("batch"))
+        land(session, parsed, f"{waiting_path}/batch={batch_id}")
+        if rejects_path:
+            decode_rejects(batch).write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
+        batch.unpersist()
+        # A replay of this batch needs what the batch before it left; what is older has been carried on.
+        delete_folder(session, f"{waiting_path}/batch={batch_id - 2}")
 
+    waiting = waiting_logs(spark, waiting_path)
+    if waiting is not None:
+        land(spark, waiting.drop("batch"), None)
     return (
-        parsed.writeStream.foreachBatch(land)
+        observed.writeStream.foreachBatch(process)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
