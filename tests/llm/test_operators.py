@@ -168,6 +168,18 @@ def test_templates(spark, docs, empty):
     assert decontamination.judged(docs, items.limit(0)).filter("contaminated").count() == 0
 
 
+def test_templates_take_names_anywhere_and_any_case(spark):
+    item = "Tom has 5 apples. Mary gives him 3 more apples, then asks: how many does he hold now?"
+    fair = "the train leaves Paris at 10 km per hour and then meets Anna Smith after 30 minutes of slow travel"
+    heading = "The Quick Brown Fox And Its Seven Lazy Friends Share A Small House"
+    items = spark.createDataFrame([(1, item), (2, fair), (3, heading)], "item_id bigint, text string")
+    other = item.replace("Tom", "Bob").replace("Mary", "Anna").replace("5", "8")
+    rows = [(1, other), (2, f'He read: "{other}"'), (3, fair.title()), (4, fair.upper()), (5, fair.lower()), (6, heading.lower()),
+            (7, "Many Other Words Stand Here In Title Case, And None Of Them Is Ever Asked About In Any Item"), (8, "Bob runs. Anna sings loud songs, then asks: who does he hold now?")]
+    found = by_key(decontamination.judged(spark.createDataFrame(rows, "doc_id bigint, text string"), items))
+    assert {i: r.item for i, r in found.items() if r.contaminated} == {1: 1, 2: 1, 3: 2, 4: 2, 5: 2, 6: 3}
+
+
 def test_mix_follows_targets(docs, empty):
     rows = mixing.plan(docs).collect()
     assert all(0 <= r.copies <= 2 for r in rows) and sum(r.target for r in {r.source: r for r in rows}.values()) == pytest.approx(

@@ -1,8 +1,17 @@
 """Benchmark decontamination by templates. DataFrame functions only.
 
-Documents and benchmark items are turned into templates: capitalised words inside a sentence, numbers, and units after a
-number become typed placeholders, everything else lower-case words. Windows of five template words are hashed and joined by
-hash. A document is contaminated by an item if it has at least 0.8 of the item's distinct windows along alignments
+Documents and benchmark items are turned into templates: names, numbers, and units after a number become typed
+placeholders, everything else lower-case words. What is a name cannot be told from a capital alone, so each text has a
+template in three forms, and each form of an item is looked for in the same form of the documents:
+
+* ``INSIDE``: runs of capitalised words inside a sentence are names;
+* ``ANYWHERE``: so are those at the start of a text or sentence, and after a bracket, quote or digit;
+* ``PLAIN``: none are, and case counts for nothing, so that a title-cased or lower-case copy is found.
+
+An item of which placeholders make up more than half in the form ``ANYWHERE`` (a title-cased one) is not looked for in it.
+
+Windows of five template words are hashed and joined by
+hash. A document is contaminated by an item if, in one form, it has at least 0.8 of the item's distinct windows along alignments
 whose slots are consistent: along one alignment (document position minus item position) each value in an item's slot
 must always meet the same value in the document. So a question with other numbers and names is found, and a chance
 likeness of templates with mixed-up values is not.
@@ -29,9 +38,13 @@ BROADCAST = 1_000_000
 NUMBER, UNIT, NAME = "", "", ""
 UNITS = "%|°C|°F|km|cm|mm|kg|mg|g|lb|oz|ml|l|m|s|ms|min|h|hours?|minutes?|seconds?|days?|weeks?|months?|years?|miles?|feet|inches|dollars?|euros?|meters?|metres?|liters?|litres?|grams?"
 IS_NAME = r"(?<=[\p{Ll},;]\s)\p{Lu}\p{L}*(?:\s\p{Lu}\p{L}*)*"
+IS_CAPITALISED = r"(?<![\p{L}\p{M}\p{N}°])\p{Lu}\p{L}*(?:\s\p{Lu}\p{L}*)*"
 IS_UNIT = rf"(?<=\p{{N}}\s?)(?:{UNITS})(?![\p{{L}}\p{{N}}])"
 IS_NUMBER = r"\p{N}+(?:[.,:/]\p{N}+)*"
 WORD = rf"[\p{{L}}\p{{M}}\p{{N}}]+|[{NUMBER}{UNIT}{NAME}]"
+INSIDE, ANYWHERE, PLAIN = 0, 1, 2
+NAMES = {INSIDE: IS_NAME, ANYWHERE: IS_CAPITALISED}
+FORMS = (INSIDE, ANYWHERE, PLAIN)
 
 
 def once(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -39,74 +52,92 @@ def once(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def template(text: Column) -> Column:
+def cased(text: Column, form: int) -> Column:
+    return F.lower(text) if form == PLAIN else text
+
+
+def unit(form: int) -> str:
+    return f"(?i:{IS_UNIT})" if form == PLAIN else IS_UNIT
+
+
+def template(text: Column, form: int) -> Column:
     def numbered(named: Column) -> Column:
-        units = F.regexp_replace(named, IS_UNIT, f" {UNIT} ")
+        units = F.regexp_replace(named, unit(form), f" {UNIT} ")
         return F.when(named.rlike(r"\p{N}"), F.regexp_replace(units, IS_NUMBER, f" {NUMBER} ")).otherwise(named)
 
-    named = F.regexp_replace(text, IS_NAME, NAME)
+    named = F.regexp_replace(text, NAMES[form], NAME) if form in NAMES else cased(text, form)
     return F.regexp_extract_all(F.lower(once(named, numbered)), F.lit(WORD), F.lit(0))
 
 
-def windows(words: Column) -> Column:
-    """Hash of the window at each position."""
+def windows(words: Column, form: int) -> Column:
+    """Hash of the window at each position, another one in each form."""
     def at(word: Column, i: Column) -> Column:
-        return F.xxhash64(word, *(F.get(words, i + k) for k in range(1, WINDOW)))
+        return F.xxhash64(F.lit(form), word, *(F.get(words, i + k) for k in range(1, WINDOW)))
 
     return F.when(F.size(words) >= WINDOW, F.transform(F.slice(words, 1, F.size(words) - (WINDOW - 1)), at))
 
 
 def hashed(df: DataFrame, key: str, name: str) -> DataFrame:
-    return df.select(F.col(key).alias(name), once(template(F.col("text")), windows).alias("hash"))
+    """One row per text and form: name, form, hash (of each window)."""
+    forms = [once(template(F.col("text"), form), lambda words, form=form: windows(words, form)) for form in FORMS]
+    return df.select(F.col(key).alias(name), F.posexplode(F.array(*forms)).alias("form", "hash"))
+
 
+def telling(words: Column) -> Column:
+    """Whether at least half of a template are words."""
+    return 2 * F.size(F.filter(words, lambda w: w.isin(NUMBER, UNIT, NAME))) <= F.size(words)
 
-def templated(df: DataFrame, key: str, text: str, name: str) -> DataFrame:
-    return df.select(F.col(key).alias(name), F.col(text).alias("text")).withColumn("words", template(F.col("text")))
 
+def slots(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Form, position, kind and value of every placeholder: the values are the same spans, in the same order."""
+    def of(form: int) -> Column:
+        places = F.transform(template(F.col("text"), form), lambda w, i: F.when(w.isin(NUMBER, UNIT, NAME), F.struct(i.alias("at"), w.alias("kind"))))
+        places = F.filter(places, lambda i: i.isNotNull())
+        spans = "|".join([*([NAMES[form]] if form in NAMES else []), unit(form), IS_NUMBER])
+        values = F.regexp_extract_all(cased(F.col("text"), form), F.lit(spans), F.lit(0))
+        return F.arrays_zip(places.alias("place"), values.alias("value"))
 
-def slots(templates: DataFrame, name: str) -> DataFrame:
-    """Position and value of every placeholder: the values are the same spans, in the same order."""
-    places = F.transform("words", lambda w, i: F.when(w.isin(NUMBER, UNIT, NAME), i))
-    places = F.filter(places, lambda i: i.isNotNull())
-    values = F.regexp_extract_all("text", F.lit(f"{IS_NAME}|{IS_UNIT}|{IS_NUMBER}"), F.lit(0))
-    pairs = templates.select(name, F.explode(F.arrays_zip(places.alias("place"), values.alias("value"))).alias("slot"))
-    return pairs.select(name, F.col("slot.place").alias("place"), F.lower("slot.value").alias("value"))
+    forms = df.select(F.col(key).alias(name), F.posexplode(F.array(*(of(form) for form in FORMS))).alias("form", "slots"))
+    pairs = forms.select(name, "form", F.explode("slots").alias("slot"))
+    return pairs.select(name, "form", F.col("slot.place.at").alias("place"), F.col("slot.place.kind").alias("kind"), F.lower("slot.value").alias("value"))
 
 
 def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Windows that a document and an item share: doc, item, at (position in the item), shift, wanted (windows of the item)."""
-    own = hashed(items, "item_id", "item")
+    """Windows that a document and an item share: doc, item, form, at (position in the item), shift, wanted (windows of the item)."""
+    asked = items.filter("text IS NOT NULL").withColumn("telling", telling(template(F.col("text"), ANYWHERE)))
+    own = hashed(asked.filter("telling"), "item_id", "item").union(hashed(asked.filter("NOT telling"), "item_id", "item").filter(F.col("form") != ANYWHERE))
     wanted = own.withColumn("wanted", F.size(F.array_distinct("hash"))).filter("hash IS NOT NULL")
-    index = staged(wanted.select("item", "wanted", F.posexplode("hash").alias("at", "hash")), "benchmark")
+    index = staged(wanted.select("item", "form", "wanted", F.posexplode("hash").alias("at", "hash")), "benchmark")
     found = hashed(docs, "doc_id", "doc").select("doc", F.posexplode("hash").alias("place", "hash"))
     index = F.broadcast(index) if index.count() <= BROADCAST else index
-    return found.join(index, "hash").select("doc", "item", "wanted", "hash", "at", (F.col("place") - F.col("at")).alias("shift"))
+    return found.join(index, "hash").select("doc", "item", "form", "wanted", "hash", "at", (F.col("place") - F.col("at")).alias("shift"))
 
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Pairs of a contaminated document and an item: doc, item, similarity (share of the item's windows)."""
+    """Pairs of a contaminated document and an item: doc, item, similarity (share of the item's windows, in the best form)."""
     docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     met = staged(matches(docs, items), "matches")
     share = F.count_distinct("hash") / F.first("wanted")
-    likely = met.groupBy("doc", "item").agg(share.alias("similarity")).filter(F.col("similarity") >= SIMILAR)
-    likely = staged(likely.select("doc", "item"), "likely")
-    lines = met.join(likely, on(met, likely, "doc", "item"), "left_semi")
-    lines = lines.groupBy("doc", "item", "shift").agg(F.max("wanted").alias("wanted"), F.collect_set("hash").alias("hashes"))
+    likely = met.groupBy("doc", "item", "form").agg(share.alias("similarity")).filter(F.col("similarity") >= SIMILAR)
+    likely = staged(likely.select("doc", "item", "form"), "likely")
+    lines = met.join(likely, on(met, likely, "doc", "item", "form"), "left_semi")
+    lines = lines.groupBy("doc", "item", "form", "shift").agg(F.max("wanted").alias("wanted"), F.collect_set("hash").alias("hashes"))
     lines = staged(lines, "alignments")
     some = likely.select(F.col("doc").alias("_doc")).distinct()
     texts = docs.join(some, docs["doc_id"].eqNullSafe(some["_doc"]), "left_semi")
-    here = slots(templated(texts, "doc_id", "text", "doc"), "doc")
-    there = slots(templated(items, "item_id", "text", "item"), "item")
-    there = there.select(F.col("item").alias("_item"), F.col("place").alias("_place"), F.col("value").alias("asked"))
-    aligned = lines.select("doc", "item", "shift").join(there, F.col("item").eqNullSafe(F.col("_item")))
-    aligned = aligned.select("doc", "item", "shift", "asked", (F.col("_place") + F.col("shift")).alias("place"))
-    here = here.select(F.col("doc").alias("_doc"), F.col("place").alias("_place"), "value")
-    pairs = aligned.join(here, F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("place") == F.col("_place")))
-    mixed = pairs.groupBy("doc", "item", "shift", "asked").agg(F.count_distinct("value").alias("answers")).filter("answers > 1")
-    mixed = mixed.select(F.col("doc").alias("_doc"), F.col("item").alias("_item"), F.col("shift").alias("_shift")).distinct()
-    clean = lines.join(mixed, lines["doc"].eqNullSafe(mixed["_doc"]) & lines["item"].eqNullSafe(mixed["_item"]) & (lines["shift"] == mixed["_shift"]), "left_anti")
-    found = clean.select("doc", "item", "wanted", F.explode("hashes").alias("hash"))
-    return found.groupBy("doc", "item").agg(share.alias("similarity")).filter(F.col("similarity") >= SIMILAR)
+    here = slots(texts, "doc_id", "doc")
+    there = slots(items, "item_id", "item")
+    there = there.select(F.col("item").alias("_item"), F.col("form").alias("_form"), F.col("place").alias("_place"), F.col("value").alias("asked"))
+    aligned = lines.select("doc", "item", "form", "shift").join(there, F.col("item").eqNullSafe(F.col("_item")) & (F.col("form") == F.col("_form")))
+    aligned = aligned.select("doc", "item", "form", "shift", "asked", (F.col("_place") + F.col("shift")).alias("place"))
+    here = here.select(F.col("doc").alias("_doc"), F.col("form").alias("_form"), F.col("place").alias("_place"), "value")
+    same = F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("form") == F.col("_form")) & (F.col("place") == F.col("_place"))
+    pairs = aligned.join(here, same)
+    mixed = pairs.groupBy("doc", "item", "form", "shift", "asked").agg(F.count_distinct("value").alias("answers")).filter("answers > 1")
+    clean = lines.join(mixed, on(lines, mixed, "doc", "item", "form", "shift"), "left_anti")
+    found = clean.select("doc", "item", "form", "wanted", F.explode("hashes").alias("hash"))
+    found = found.groupBy("doc", "item", "form").agg(share.alias("similarity")).filter(F.col("similarity") >= SIMILAR)
+    return found.groupBy("doc", "item").agg(F.max("similarity").alias("similarity"))
 
 
 def on(left: DataFrame, right: DataFrame, *names: str) -> Column:
