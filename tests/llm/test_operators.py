@@ -180,6 +180,16 @@ def test_templates_take_names_anywhere_and_any_case(spark):
     assert {i: r.item for i, r in found.items() if r.contaminated} == {1: 1, 2: 1, 3: 2, 4: 2, 5: 2, 6: 3}
 
 
+def test_slots_outside_matched_windows_are_no_evidence(spark):
+    item = ("a pipe of 5 km runs from the hill down to the old town where every house takes water for its own kitchen and bath and "
+            "garden so that all of them use what another pipe of 5 km length would hold in the same time")
+    rows = [(1, item.replace("old town", "very old town")), (2, item.replace("old town", "town")),
+            (3, item.replace("5", "9").replace("old town", "very old town")), (4, item.replace("of 5", "of 7", 1).replace("old town", "mill town"))]
+    items = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    found = by_key(decontamination.judged(spark.createDataFrame(rows, "doc_id bigint, text string"), items))
+    assert {i for i, r in found.items() if r.contaminated} == {1, 2, 3}
+
+
 def test_mix_follows_targets(docs, empty):
     rows = mixing.plan(docs).collect()
     assert all(0 <= r.copies <= 2 for r in rows) and sum(r.target for r in {r.source: r for r in rows}.values()) == pytest.approx(

@@ -13,7 +13,8 @@ An item of which placeholders make up more than half in the form ``ANYWHERE`` (a
 Windows of five template words are hashed and joined by
 hash. A document is contaminated by an item if, in one form, it has at least 0.8 of the item's distinct windows along alignments
 whose slots are consistent: along one alignment (document position minus item position) each value in an item's slot
-must always meet the same value in the document. So a question with other numbers and names is found, and a chance
+must always meet the same value in the document. Only slots inside windows that matched on that alignment count, and
+values are compared within their kind, so places that do not match are no evidence against those that do. So a question with other numbers and names is found, and a chance
 likeness of templates with mixed-up values is not.
 
 The benchmark's windows are broadcast where their count is at most ``BROADCAST`` (about 50 MB), else joined by a shuffle.
@@ -121,19 +122,20 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     likely = met.groupBy("doc", "item", "form").agg(share.alias("similarity")).filter(F.col("similarity") >= SIMILAR)
     likely = staged(likely.select("doc", "item", "form"), "likely")
     lines = met.join(likely, on(met, likely, "doc", "item", "form"), "left_semi")
-    lines = lines.groupBy("doc", "item", "form", "shift").agg(F.max("wanted").alias("wanted"), F.collect_set("hash").alias("hashes"))
+    lines = lines.groupBy("doc", "item", "form", "shift").agg(F.max("wanted").alias("wanted"), F.collect_set("hash").alias("hashes"), F.collect_set("at").alias("ats"))
     lines = staged(lines, "alignments")
     some = likely.select(F.col("doc").alias("_doc")).distinct()
     texts = docs.join(some, docs["doc_id"].eqNullSafe(some["_doc"]), "left_semi")
     here = slots(texts, "doc_id", "doc")
     there = slots(items, "item_id", "item")
-    there = there.select(F.col("item").alias("_item"), F.col("form").alias("_form"), F.col("place").alias("_place"), F.col("value").alias("asked"))
-    aligned = lines.select("doc", "item", "form", "shift").join(there, F.col("item").eqNullSafe(F.col("_item")) & (F.col("form") == F.col("_form")))
-    aligned = aligned.select("doc", "item", "form", "shift", "asked", (F.col("_place") + F.col("shift")).alias("place"))
-    here = here.select(F.col("doc").alias("_doc"), F.col("form").alias("_form"), F.col("place").alias("_place"), "value")
+    there = there.select(F.col("item").alias("_item"), F.col("form").alias("_form"), F.col("place").alias("_place"), "kind", F.col("value").alias("asked"))
+    aligned = lines.join(there, F.col("item").eqNullSafe(F.col("_item")) & (F.col("form") == F.col("_form")))
+    aligned = aligned.filter(F.exists("ats", lambda at: (F.col("_place") >= at) & (F.col("_place") < at + WINDOW)))
+    aligned = aligned.select("doc", "item", "form", "shift", "kind", "asked", (F.col("_place") + F.col("shift")).alias("place"))
+    here = here.select(F.col("doc").alias("_doc"), F.col("form").alias("_form"), F.col("place").alias("_place"), F.col("kind").alias("_kind"), "value")
     same = F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("form") == F.col("_form")) & (F.col("place") == F.col("_place"))
-    pairs = aligned.join(here, same)
-    mixed = pairs.groupBy("doc", "item", "form", "shift", "asked").agg(F.count_distinct("value").alias("answers")).filter("answers > 1")
+    pairs = aligned.join(here, same & (F.col("kind") == F.col("_kind")))
+    mixed = pairs.groupBy("doc", "item", "form", "shift", "kind", "asked").agg(F.count_distinct("value").alias("answers")).filter("answers > 1")
     clean = lines.join(mixed, on(lines, mixed, "doc", "item", "form", "shift"), "left_anti")
     found = clean.select("doc", "item", "form", "wanted", F.explode("hashes").alias("hash"))
     found = found.groupBy("doc", "item", "form").agg(share.alias("similarity")).filter(F.col("similarity") >= SIMILAR)
