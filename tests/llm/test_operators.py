@@ -86,6 +86,19 @@ def test_suffixes_against_brute_force(docs, texts, empty):
     assert suffixes.remove_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize("chunk", [1 << 20, 1])
+def test_repeats_compare_ids_and_not_places(spark, monkeypatch, chunk):
+    monkeypatch.setattr(anchors.repeats, "CHUNK", chunk)
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(200)]
+    one, two = sentence(rng, 30, words), sentence(rng, 30, words)
+    rows = [(1, f"first {one}"), (1, f"second {one}"), (None, f"third {two}"), (None, f"fourth {two}"), (2, f"fifth {one}")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    for found in (anchors.remove_repeats(docs), suffixes.remove_repeats(docs)):
+        gone = sorted((r.key or 9, r.n_removed > 0) for r in found.collect())
+        assert gone == [(1, False), (1, False), (2, True), (9, False), (9, False)]
+
+
 def test_the_cover_meets_every_difference():
     assert {(a - b) % suffixes.CYCLE for a in suffixes.COVER for b in suffixes.COVER} == set(range(suffixes.CYCLE))
 

@@ -282,8 +282,8 @@ def tell_rows(scheme: Scheme, bits: int):
             for one, alive, text in opened(batch, scheme):
                 keys, first, inverse, places, docs = window_keys(scheme, text, bits, one["shared"].as_py())
                 earlier = answered(one["earlier"].as_py(), len(keys))
-                removed = places[earlier[inverse] | (docs > first[inverse])] if len(keys) else places
                 ids = np.frombuffer(one["ids"].as_buffer(), np.int64)
+                removed = places[earlier[inverse] | (ids[docs] > ids[first[inverse]])] if len(keys) else places
                 yield scheme.rows(text, [None if i == LAST else i for i in ids.tolist()], ~alive, removed)
 
     return tell
