@@ -236,6 +236,22 @@ def test_url_rules_and_parts(spark):
     assert url_trees.judge(pages.limit(0), rules).count() == 0
 
 
+@pytest.mark.parametrize("most", [url_trees.BROADCAST, 0])
+def test_url_suffix_rates_cover_all_judged_pages(spark, monkeypatch, most):
+    monkeypatch.setattr(url_trees, "BROADCAST", most)
+    rules = [("allow", "good.org/"), ("block", "bad.org/"), ("block", "bad.net/"), ("allow", "good.net/")]
+    urls = [f"http://{host}/{i}" for host in ("good.org", "bad.org", "bad.net", "good.net") for i in range(60)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    rows = url_trees.by_rule(url_trees.parts(pages), rules).withColumn("label", (F.col("ruled") == "block").cast("double"))
+    known = url_trees.block_rates(url_trees.lexical(rows), 0.5)
+    assert {r.last_two: r.last_two_rate for r in known["last_two"].collect()} == {
+        "good.org": pytest.approx(5 / 70), "bad.org": pytest.approx(65 / 70), "bad.net": pytest.approx(65 / 70), "good.net": pytest.approx(5 / 70)}
+    seen, learn = [], url_trees.with_rates
+    monkeypatch.setattr(url_trees, "with_rates", lambda df, rates, base: seen.append((rates, base)) or learn(df, rates, base))
+    assert url_trees.judge(pages, rules, sample=3, trees=1).count() == len(urls)
+    assert all(base == 0.5 and rates["last_two"].count() == 4 for rates, base in seen) and len(seen) == 2
+
+
 def test_token_files_round_trip(docs, texts, empty):
     tokenizers = pytest.importorskip("tokenizers")
     public = pytest.importorskip("public_tokenizers")

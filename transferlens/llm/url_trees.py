@@ -2,8 +2,8 @@
 
 The trees learn from labelled urls, at most ``sample`` of them, which are those the rules judge. Features: lengths, path depth, digit
 ratio, entropy of the characters, number of parameters, and smoothed block rates of the last one and two labels of
-the host. DataFrame functions and Spark's own tree learner only. The rule list is a short parameter of the query; the
-suffix statistics that are broadcast have at most ``sample`` rows.
+the host, which are counted over all urls that a rule judges. DataFrame functions and Spark's own tree learner only. The
+rule list is a short parameter of the query; suffix statistics of more than ``BROADCAST`` rows are joined by a shuffle.
 
 Defined cases: a null url or one without ``://`` has an empty host and path; where labelled urls are missing or all
 of one kind, that kind is the verdict (``allow`` without any); repeated rows are judged alike; an empty table gives an
@@ -23,6 +23,7 @@ from transferlens.llm.common import staged
 
 Rule = tuple[str, str]
 SAMPLE = 20_000
+BROADCAST = 20_000
 PRIOR = 10.0
 FEATURES = ["url_length", "host_length", "path_length", "depth", "labels", "digit_ratio", "host_digit_ratio", "dashes",
             "entropy", "parameters", "last_rate", "last_two_rate"]
@@ -68,12 +69,21 @@ def lexical(df: DataFrame, url: str = "url") -> DataFrame:
     })
 
 
-def with_rates(df: DataFrame, learned: DataFrame, base: float) -> DataFrame:
-    """Adds the smoothed block rate of both host suffixes; suffixes not learned get the base rate."""
+def block_rates(ruled: DataFrame, base: float) -> dict[str, DataFrame]:
+    """The smoothed block rate of each host suffix, over all of ``ruled``."""
+    rate = (F.sum("label") + F.lit(PRIOR * base)) / (F.count("*") + F.lit(PRIOR))
+    found = {}
     for name in ("last", "last_two"):
-        rate = (F.sum("label") + F.lit(PRIOR * base)) / (F.count("*") + F.lit(PRIOR))
-        rates = learned.groupBy(name).agg(rate.alias(f"{name}_rate"))
-        df = df.join(F.broadcast(rates), name, "left").fillna({f"{name}_rate": base})
+        # Written out, so that both sides of a join are shuffled and a hot suffix can be split.
+        rates = staged(ruled.groupBy(name).agg(rate.alias(f"{name}_rate")), f"{name}_rates")
+        found[name] = F.broadcast(rates) if rates.count() <= BROADCAST else rates
+    return found
+
+
+def with_rates(df: DataFrame, rates: dict[str, DataFrame], base: float) -> DataFrame:
+    """Adds the smoothed block rate of both host suffixes; suffixes without a judged url get the base rate."""
+    for name, known in rates.items():
+        df = df.join(known, name, "left").fillna({f"{name}_rate": base})
     return df
 
 
@@ -82,20 +92,21 @@ def judge(pages: DataFrame, rules: list[Rule], key: str = "page_id", url: str =
     """One row per url: key, host, path, rule, verdict, block_score (null where a rule decides)."""
     rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"))
     rows = lexical(by_rule(parts(rows), rules))
-    label = (F.col("ruled") == "block").cast("double").alias("label")
-    labelled = rows.filter(F.col("ruled").isNotNull()).orderBy(F.xxhash64("key", "url"), "url").limit(sample)
-    labelled = staged(labelled.select("*", label), "labelled_urls").drop("rule", "ruled")
-    n, blocked = labelled.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
+    label = (F.col("ruled") == "block").cast("double")
+    ruled = rows.filter(F.col("ruled").isNotNull()).withColumn("label", label).drop("rule", "ruled")
+    labelled = staged(ruled.orderBy(F.xxhash64("key", "url"), "url").limit(sample), "labelled_urls")
+    n, blocked = ruled.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     base = blocked / n if n else 0.0
     if base in (0.0, 1.0):
         score = F.lit(base)
         scored = rows
     else:
+        rates = block_rates(ruled, base)
         assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
-        train = assembler.transform(with_rates(labelled, labelled, base)).select("features", "label").coalesce(4)
+        train = assembler.transform(with_rates(labelled, rates, base)).select("features", "label").coalesce(4)
         model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=7, cacheNodeIds=False).fit(train.cache())
         train.unpersist()
-        scored = model.transform(assembler.transform(with_rates(rows, labelled, base)))
+        scored = model.transform(assembler.transform(with_rates(rows, rates, base)))
         score = F.call_function("element_at", vector(F.col("probability")), F.lit(2))
     scored = scored.withColumn("block_score", F.when(F.col("rule").isNull(), score))
     verdict = F.coalesce("ruled", F.when(F.col("block_score") >= 0.5, "block").otherwise("allow"))
