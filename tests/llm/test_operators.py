@@ -203,6 +203,15 @@ def test_slots_outside_matched_windows_are_no_evidence(spark):
     assert {i for i, r in found.items() if r.contaminated} == {1, 2, 3}
 
 
+def test_long_runs_of_names_and_numbers(spark):
+    item = "the old train leaves Paris at 10 km per hour and then meets Anna Smith after 30 minutes of slow travel"
+    runs = ["and " + "Aa " * 5000, "Aa " * 5000, "1.2," * 5000, "12 km " * 5000, "x" * 50_000, "1" * 50_000, "É" * 50_000]
+    rows = [(i, f"{run} {item} {run}") for i, run in enumerate(runs)] + [(i + 100, run) for i, run in enumerate(runs)]
+    items = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    found = by_key(decontamination.judged(spark.createDataFrame(rows, "doc_id bigint, text string"), items))
+    assert {i for i, r in found.items() if r.item == 1} == set(range(len(runs)))
+
+
 def test_mix_follows_targets(docs, empty):
     rows = mixing.plan(docs).collect()
     assert all(0 <= r.copies <= 2 for r in rows) and sum(r.target for r in {r.source: r for r in rows}.values()) == pytest.approx(

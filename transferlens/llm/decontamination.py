@@ -38,10 +38,11 @@ BROADCAST = 1_000_000
 # Placeholders are private-use characters; units that may follow a number.
 NUMBER, UNIT, NAME = "", "", ""
 UNITS = "%|°C|°F|km|cm|mm|kg|mg|g|lb|oz|ml|l|m|s|ms|min|h|hours?|minutes?|seconds?|days?|weeks?|months?|years?|miles?|feet|inches|dollars?|euros?|meters?|metres?|liters?|litres?|grams?"
-IS_NAME = r"(?<=[\p{Ll},;]\s)\p{Lu}\p{L}*(?:\s\p{Lu}\p{L}*)*"
-IS_CAPITALISED = r"(?<![\p{L}\p{M}\p{N}°])\p{Lu}\p{L}*(?:\s\p{Lu}\p{L}*)*"
+# Loops are possessive: Java goes through the others by recursion, and long runs of names or numbers overflow its stack.
+IS_NAME = r"(?<=[\p{Ll},;]\s)\p{Lu}\p{L}*+(?:\s\p{Lu}\p{L}*+)*+"
+IS_CAPITALISED = r"(?<![\p{L}\p{M}\p{N}°])\p{Lu}\p{L}*+(?:\s\p{Lu}\p{L}*+)*+"
 IS_UNIT = rf"(?<=\p{{N}}\s?)(?:{UNITS})(?![\p{{L}}\p{{N}}])"
-IS_NUMBER = r"\p{N}+(?:[.,:/]\p{N}+)*"
+IS_NUMBER = r"\p{N}++(?:[.,:/]\p{N}++)*+"
 WORD = rf"[\p{{L}}\p{{M}}\p{{N}}]+|[{NUMBER}{UNIT}{NAME}]"
 INSIDE, ANYWHERE, PLAIN = 0, 1, 2
 NAMES = {INSIDE: IS_NAME, ANYWHERE: IS_CAPITALISED}
