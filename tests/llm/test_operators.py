@@ -207,11 +207,33 @@ def test_long_runs_of_names_and_numbers(spark):
     item = "the old train leaves Paris at 10 km per hour and then meets Anna Smith after 30 minutes of slow travel"
     runs = ["and " + "Aa " * 5000, "Aa " * 5000, "1.2," * 5000, "12 km " * 5000, "x" * 50_000, "1" * 50_000, "É" * 50_000]
     rows = [(i, f"{run} {item} {run}") for i, run in enumerate(runs)] + [(i + 100, run) for i, run in enumerate(runs)]
-    items = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    items = spark.createDataFrame([(1, item), (2, "Aa " * 2000), (3, "1.2," * 5000), (4, "12 " * 2000)], "item_id bigint, text string")
     found = by_key(decontamination.judged(spark.createDataFrame(rows, "doc_id bigint, text string"), items))
     assert {i for i, r in found.items() if r.item == 1} == set(range(len(runs)))
 
 
+def test_windows_of_placeholders_alone_say_nothing(spark):
+    count = " ".join(str(i) for i in range(1, 13))
+    items = spark.createDataFrame([("a", count), ("b", "Anna Bob 12 km Carl Dora 13 km Emil 14 kg"), (None, "take the third root of 12 and add 5 to it")], "item_id string, text string")
+    rows = [(1, "the years 1901 1902 1903 1904 1905 1906 follow"), (2, f"count with me {count} and so on"), (3, "Rita Sam 1 km Tom Uwe 2 km Vera 3 kg"),
+            (4, "they say Anna Bob 12 km Carl Dora 13 km Emil 14 kg"), (5, "take the third root of 99 and add 7 to it"), (6, " ".join(str(i * 7) for i in range(3000)))]
+    found = by_key(decontamination.judged(spark.createDataFrame(rows, "doc_id bigint, text string"), items))
+    assert {i: (r.item, r.similarity) for i, r in found.items() if r.contaminated} == {2: ("a", 1.0), 4: ("b", 1.0), 5: (None, 1.0)}
+    assert {i for i, r in found.items() if r.similarity is not None} == {2, 4, 5}
+    kept = decontamination.drop_leaks(spark.createDataFrame(rows, "doc_id bigint, text string"), items)
+    assert {r.doc_id for r in kept.collect()} == {1, 3, 6}
+
+
+def test_template_ids_may_repeat_or_be_null(spark):
+    items = spark.createDataFrame([(1, "one item asks what the old man has seen"), (1, "another one asks where his dog has been"), (1, "one item asks what the old man has seen")], "item_id int, text string")
+    rows = [(None, "here another one asks where his dog has been"), (None, "nothing of the kind"), (7, "one item asks what the old man has seen"), (8, None), (9, "")]
+    docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id int, text string, item int, form string")
+    found = {(r.key, r.contaminated, r.item) for r in decontamination.judged(docs, items).collect()}
+    assert found == {(None, True, 1), (7, True, 1), (8, False, None), (9, False, None)}
+    kept = decontamination.drop_leaks(docs, items)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [8, 9]
+
+
 def test_mix_follows_targets(docs, empty):
     rows = mixing.plan(docs).collect()
     assert all(0 <= r.copies <= 2 for r in rows) and sum(r.target for r in {r.source: r for r in rows}.values()) == pytest.approx(
