@@ -1,7 +1,7 @@
 """Token metadata: JSON objects keyed by token address, one or more files per chain.
 
 The chain id comes from the file name, ``tokenMetadata_<chain>.json``. A folder of that name, holding any
-number of JSON files, works the same and lets a large chain load in parallel.
+number of JSON files, works the same. A file of any size is read by many tasks (see ``json_entries``).
 """
 
 from __future__ import annotations
@@ -10,34 +10,39 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transferlens.schema import TOKEN_METADATA
+from transferlens.sources.json_entries import read_entries
 
 FILE_NAME = r"tokenMetadata_(\d+)\.json"
-# Decimals are parsed as a JSON number; a quoted number or any other type becomes NULL.
-ENTRIES = "map<string, struct<name: string, symbol: string, decimals: double>>"
 LEAST, MOST = -32768, 32767
 
 
-def read_metadata_files(spark: SparkSession, path: str) -> DataFrame:
-    """(chain_id, file, document) for files whose name carries a chain id."""
-    text = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
-    file = F.col("_metadata.file_path")
-    chain = F.regexp_extract(file, FILE_NAME, 1)
-    return text.filter(chain != "").select(
-        chain.cast("bigint").alias("chain_id"), file.alias("file"), F.col("value").alias("document")
-    )
-
-
 def _entries(spark: SparkSession, path: str) -> DataFrame:
-    files = read_metadata_files(spark, path).withColumn("entries", F.from_json("document", ENTRIES))
-    return files.select("chain_id", "file", F.explode_outer("entries").alias("token", "data")).select(
+    """One row per token: its parts, and what kind of JSON it is. An entry that does not parse has a token and no kind."""
+    files = read_entries(spark, path, FILE_NAME).withColumnRenamed("key", "files_key")
+    files = files.withColumn("chain_id", F.regexp_extract("file", FILE_NAME, 1).cast("bigint"))
+    data = files.lateralJoin(spark.tvf.variant_explode_outer(F.col("document").outer()))
+    number = F.when(
+        F.schema_of_variant(F.try_variant_get("value", "$.decimals", "variant")).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"),
+        F.try_variant_get("value", "$.decimals", "double"),
+    )
+    found = data.select(
         "chain_id",
         "file",
-        "token",
-        F.col("data.name").alias("name"),
-        F.col("data.symbol").alias("symbol"),
-        F.col("data.decimals").alias("number"),
-        F.when(_whole(F.col("data.decimals")), F.col("data.decimals")).cast("smallint").alias("decimals"),
+        F.when(F.col("document").isNull(), F.col("files_key")).otherwise(F.col("key")).alias("token"),
+        F.col("document").isNull().alias("broken"),
+        F.schema_of_variant("value").alias("kind"),
+        _text("name").alias("name"),
+        _text("symbol").alias("symbol"),
+        number.alias("number"),
     )
+    return found.withColumn("decimals", F.when(_whole(F.col("number")), F.col("number")).cast("smallint"))
+
+
+def _text(field: str) -> Column:
+    """A string, or the JSON text of anything else but null."""
+    part = F.try_variant_get("value", f"$.{field}", "variant")
+    nested = F.schema_of_variant(part).rlike("^(OBJECT|ARRAY)")
+    return F.when(nested, F.to_json(part)).otherwise(F.try_variant_get("value", f"$.{field}", "string"))
 
 
 def _whole(number: Column) -> Column:
@@ -47,6 +52,8 @@ def _whole(number: Column) -> Column:
 def _reason() -> Column:
     return (
         F.when(F.col("token").isNull(), "file is not a JSON object of tokens")
+        .when(F.col("broken"), "entry is not valid JSON")
+        .when(~F.col("kind").startswith("OBJECT"), "entry is not a JSON object")
         .when(F.coalesce(F.col("name"), F.lit("")) == "", "name is missing or empty")
         .when(F.coalesce(F.col("symbol"), F.lit("")) == "", "symbol is missing or empty")
         .when(F.col("number").isNull(), "decimals is not a number")
@@ -70,7 +77,7 @@ def load_metadata(spark: SparkSession, path: str) -> DataFrame:
 
 
 def metadata_rejects(spark: SparkSession, path: str) -> DataFrame:
-    """Entries that :func:`load_metadata` leaves out, and files that do not parse, with the reason."""
+    """Entries that :func:`load_metadata` leaves out, and files without any entry, with the reason."""
     entries = _entries(spark, path).withColumn("reason", _reason())
     return entries.filter(F.col("reason").isNotNull()).select(
         "chain_id", F.col("token").alias("contract_address"), "name", "symbol", "decimals", "reason"
