@@ -236,6 +236,21 @@ def oracle_sql() -> dict[str, str]:
                        date_trunc('day', max(block_timestamp))), 4) AS events_per_second
           FROM chain""",
     )
+    decodable = "l_linenumber <> 7 AND NOT (l_returnflag = 'R' AND l_linenumber IN (4, 5, 6))"
+    sql["ingest_totals"] = _with(
+        CHAIN,
+        body=f"""SELECT count(*) FILTER ({decodable}) AS events,
+                 count(*) FILTER (NOT ({decodable}) AND NOT (l_returnflag = 'R' AND l_linenumber = 4)) AS rejects,
+                 cast(cast(sum(cents) FILTER ({decodable}) AS DECIMAL(38,0)) AS VARCHAR) AS total_value
+          FROM chain""",
+    )
+    sql["resume_block"] = _with(CHAIN, body="SELECT max(block_number) AS resume_block FROM chain")
+    sql["catalog_table"] = _with(
+        ALL_CHAINS,
+        body=f"""SELECT cast(chain_id AS BIGINT) AS chain_id, count(*) AS transfers, max(block_number) AS last_block,
+                 cast({VOLUME} AS VARCHAR) AS total_value
+          FROM chains WHERE chain_id <> 8453 GROUP BY chain_id""",
+    )
     sql["load_metadata"] = _with(DOCUMENTS, body="SELECT * FROM loaded")
     sql["metadata_rejects"] = _with(
         DOCUMENTS,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,16 +10,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks import views
-from transferlens.functions.amounts import amounts_of, u256_from_long, u256_from_text
+from transferlens.functions.amounts import aggregate, amounts_of, u256_from_long, u256_from_text
 from transferlens.operators.ledger import token_balances
 from transferlens.plans import activity, discovery, holders, tokens
 from transferlens.schema import unknown_chains, with_chain
 from transferlens.session import shared_folder
+from transferlens.sources import catalog
 from transferlens.sources import metadata as metadata_source
 from transferlens.sources import raw_logs as log_source
 from transferlens.sources import transfers as transfer_source
 from transferlens.streaming.daily import stream_daily_activity, stream_daily_users
 from transferlens.streaming.ingest import ingest_stream
+from transferlens.streaming.totals import ingest_totals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -159,6 +162,44 @@ def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(rejects).drop("batch").withColumn("topics", F.array_join("topics", ","))
 
 
+def ingest_running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the checkpoint of two runs has counted."""
+    logs, blocks, table, checkpoint = (shared_folder(spark, name) for name in ("logs", "blocks", "transfers", "checkpoint"))
+    source = views.raw_logs(spark, sf_dir)
+    views.blocks(spark, sf_dir).write.parquet(blocks)
+    middle = source.agg(F.max("block_number").alias("b")).select(F.expr("b div 2")).scalar()
+    for delivery in (source.filter(F.col("block_number") <= middle), source.filter(F.col("block_number") > middle)):
+        delivery.write.mode("append").parquet(logs)
+        ingest_stream(spark, logs, blocks, table, checkpoint).awaitTermination()
+    totals = ingest_totals(spark, checkpoint)
+    return totals.withColumn("total_value", amounts_of(totals, "total_value").to_text(F.col("total_value")))
+
+
+def resume_block(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last block of a landed chain, from the footers of its files."""
+    path = shared_folder(spark, "transfers")
+    transfer_source.write_transfers(wide(views.chain_transfers(spark, sf_dir).select(*LANDED)), path)
+    return catalog.highest(spark, path, "block_number", {"chain_id": 130}).withColumnRenamed("highest", "resume_block")
+
+
+def catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table by name that is written, extended, loses a chain and gets its last block again; what it holds by chain."""
+    name = f"transfers_{uuid.uuid4().hex}"
+    source = wide(views.all_chains(spark, sf_dir).withColumn("transaction_hash", F.lit("0x0")))
+    middle = source.agg(F.max("block_number").alias("b")).select(F.expr("b div 2")).scalar()
+    of_chain = F.col("chain_id") == 1
+    try:
+        transfer_source.write_transfers(source.filter((F.col("block_number") <= middle) | ~of_chain), name)
+        transfer_source.replace_last_block(spark, name, source.filter(of_chain), 1)
+        transfer_source.drop_chain(spark, name, 8453)
+        t = transfer_source.read_transfers(spark, name)
+        counts = aggregate(t, ["chain_id"], [F.count(F.lit(1)).alias("transfers"), F.max("block_number").alias("last_block")], {"total_value": "value"})
+        counts = counts.withColumn("total_value", amounts_of(counts, "total_value").to_text(F.col("total_value")))
+        return spark.createDataFrame(counts.collect(), counts.schema)  # a row per chain
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def resume_point(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transfer_source.resume_point(views.transfers(spark, sf_dir))
 
@@ -281,7 +322,10 @@ def registry() -> dict[str, Query]:
         "write_transfers": write_transfers,
         "ingest_stream": ingest,
         "ingest_rejects": ingest_rejects,
+        "ingest_totals": ingest_running_totals,
         "resume_point": resume_point,
+        "resume_block": resume_block,
+        "catalog_table": catalog_table,
         "replace_last_block": replace_last_block,
         "ingest_stats": ingest_stats,
         "load_metadata": load_metadata,

@@ -144,7 +144,7 @@ def test_stream_lands_rejects_and_tells_totals(spark, tmp_path):
     assert sorted(r.reason for r in spark.read.parquet(rejects).collect()) == [
         "block number or log index is missing", "data is not a 32-byte word"]
     told = [p["observedMetrics"]["ingest"] for p in query.recentProgress if "ingest" in p["observedMetrics"]]
-    assert [(int(m.events), int(m.rejects), m.total_value) for m in told] == [(2, 2, 9.0)]
+    assert [(int(m.events), int(m.rejects), int(m.total_value_12)) for m in told] == [(2, 2, 9)]
     assert shown(transfers.read_transfers(spark, table)) == [(1, 0, "4"), (1, 1, "5")]
 
 

@@ -5,11 +5,15 @@ from __future__ import annotations
 import argparse
 import json
 
+from pyspark.sql import functions as F
+
+from transferlens.functions.amounts import amounts_of
 from transferlens.plans.catalog import ANALYTICS, run_analytic
 from transferlens.schema import CHAINS, DEFAULT_CHAIN
 from transferlens.session import build_session
 from transferlens.sources import metadata, raw_logs, transfers
 from transferlens.streaming.ingest import ingest_stream
+from transferlens.streaming.totals import ingest_totals
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -64,6 +68,8 @@ def main(argv: list[str] | None = None) -> None:
         )
         run.awaitTermination()
         print(f"{sum(p['numInputRows'] for p in run.recentProgress)} logs read")
+        totals = ingest_totals(spark, args.checkpoint)
+        totals.withColumn("total_value", amounts_of(totals, "total_value").to_text(F.col("total_value"))).show(truncate=False)
     elif args.job == "resume":
         logs = raw_logs.read_raw_logs(spark, args.logs, args.format)
         decoded = raw_logs.decode_transfers(logs, raw_logs.read_blocks(spark, args.blocks, args.format), args.chain)

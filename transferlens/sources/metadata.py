@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transferlens.schema import TOKEN_METADATA
+from transferlens.sources import catalog
 from transferlens.sources.json_entries import read_entries
 
 FILE_NAME = r"tokenMetadata_(\d+)\.json"
@@ -88,21 +89,14 @@ def write_metadata(m: DataFrame, path: str) -> None:
     """Replace the stored metadata of the chains in ``m`` and keep all others; sorted for lookups by address."""
     if m.isEmpty():
         raise ValueError("no valid token metadata to write")
-    (
-        m.select(*(f.name for f in TOKEN_METADATA.fields))
-        .hint("rebalance", F.col("chain_id"))
-        .sortWithinPartitions("chain_id", "contract_address")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("chain_id")
-        .option("parquet.bloom.filter.enabled#contract_address", "true")
-        .option("parquet.bloom.filter.enabled#symbol", "true")
-        .parquet(path)
-    )
+    fields = [f for f in TOKEN_METADATA.fields if f.name != "chain_id"] + [TOKEN_METADATA["chain_id"]]
+    rows = m.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in fields)).hint("rebalance", F.col("chain_id"))
+    blooms = {f"parquet.bloom.filter.enabled#{name}": "true" for name in ("contract_address", "symbol")}
+    catalog.save(rows.sortWithinPartitions("chain_id", "contract_address"), path, ["chain_id"], "overwrite", blooms)
 
 
 def read_metadata(spark: SparkSession, path: str, chain_id: int | None = None) -> DataFrame:
-    m = spark.read.schema(TOKEN_METADATA).parquet(path)
+    m = catalog.scan(spark, path, TOKEN_METADATA)
     return m if chain_id is None else m.filter(F.col("chain_id") == chain_id)
 
 

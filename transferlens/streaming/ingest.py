@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from transferlens.functions.amounts import amounts_of
 from transferlens.schema import DEFAULT_CHAIN, RAW_LOGS, check_chain
 from transferlens.sources.raw_logs import amount, decodable, decode_rejects, parse_logs, read_blocks, transfer_logs, with_block_time
-from transferlens.sources.transfers import IDENTITY, delete_folder, landed_or_none, write_transfers
+from transferlens.sources import files
+from transferlens.sources.transfers import IDENTITY, landed_or_none, write_transfers
+from transferlens.streaming.totals import VALUE, keep_totals, measures
 
 
 def not_yet_landed(batch: DataFrame, landed: DataFrame | None) -> DataFrame:
@@ -70,22 +71,16 @@ def ingest_stream(
 
     A log whose block has not landed waits in a folder inside the checkpoint. It is tried again at the start of each run and
     with each batch, and lands once its block is there. With ``rejects_path``, logs that do not decode are written
-    there with their reason, by batch; a replay overwrites its batch. ``observedMetrics`` of the query progress
-    carry ``events``, ``rejects`` and ``total_value`` (a double) of the logs read.
+    there with their reason, by batch; a replay overwrites its batch. Totals over all runs are kept with the checkpoint
+    (see ``totals``); ``observedMetrics`` of the query progress carry those of a batch, the value as exact slice sums.
     """
     check_chain(chain_id)
     waiting_path = f"{checkpoint}/waiting"
     logs = transfer_logs(
         spark.readStream.schema(RAW_LOGS).format(fmt).option("maxFilesPerTrigger", max_files).load(logs_path)
     )
-    value = amount()
-    total = F.sum(F.when(decodable(), amounts_of(parse_logs(logs)).to_double(value)))
-    observed = logs.observe(
-        "ingest",
-        F.count_if(decodable()).alias("events"),
-        F.count_if(~decodable()).alias("rejects"),
-        F.coalesce(total, F.lit(0.0)).alias("total_value"),
-    )
+    valued = logs.withColumn(VALUE, F.when(decodable(), amount()))
+    observed = valued.observe("ingest", *measures()).drop(VALUE)
 
     def land(session: SparkSession, parsed: DataFrame, waiting_to: str | None) -> None:
         parsed = parsed.persist()
@@ -112,9 +107,10 @@ def ingest_stream(
         land(session, parsed, f"{waiting_path}/batch={batch_id}")
         if rejects_path:
             decode_rejects(batch).write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
+        keep_totals(batch.withColumn(VALUE, F.when(decodable(), amount())), checkpoint, batch_id)
         batch.unpersist()
         # A replay of this batch needs what the batch before it left; what is older has been carried on.
-        delete_folder(session, f"{waiting_path}/batch={batch_id - 2}")
+        files.delete(session, f"{waiting_path}/batch={batch_id - 2}")
 
     waiting = waiting_logs(spark, waiting_path)
     if waiting is not None:
