@@ -48,10 +48,18 @@ def held_out(key: str, modulus: int, remainder: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % modulus == remainder
 
 
-def about(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """All of ``df``, or some ``rows`` of it that depend on nothing but their keys where it has more."""
-    total = df.select(key).count()
+def about(df: DataFrame, rows: int, by: str | None = None) -> DataFrame:
+    """All of ``df``, or some ``rows`` of it (of each value of ``by``) that depend on nothing but what they hold, where it has more."""
+    at = F.xxhash64(*df.columns)
+    if by is not None:
+        sizes = staged(df.groupBy(by).agg(F.count("*").alias("_rows")), "sample_sizes")
+        # The hash as a number from 0 to 1; groups of no more than ``rows`` are taken whole.
+        part = at / F.lit(2.0**64) + 0.5
+        return df.join(sizes, by).filter((F.col("_rows") <= rows) | (part < rows / F.col("_rows"))).select(*df.columns)
+    total = df.count()
     if total <= rows:
         return df
-    share = int(1_000_000 * rows / total)
-    return df.filter(F.pmod(F.xxhash64(F.col(key)), F.lit(1_000_000)) < share)
+    sample = df.filter(at < F.lit((rows << 64) // total - (1 << 63)))
+    if sample.isEmpty():
+        raise ValueError(f"a sample of about {rows} of {total} rows is empty: too many of them are equal")
+    return sample

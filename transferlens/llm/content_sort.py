@@ -78,6 +78,10 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", parti
 
 
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that stay."""
-    stay = exact_groups(docs, key, text).filter("kept").select(F.col("key").alias("_stays"))
-    return docs.join(stay, docs[key] == stay["_stays"], "left_semi")
+    """One row of each group of equal texts: one of those with the smallest key, or with none where all keys are null."""
+    names = docs.columns
+    stay = exact_groups(docs, key, text).filter("kept").select(F.col("key").alias("_key"), F.col("text_sha256").alias("_sha"))
+    held = docs.select(F.struct(*names).alias("row"), F.col(key).cast("long").alias("key"), F.sha2(normalised(text), 256).alias("sha"))
+    kept = held.join(stay, held["key"].eqNullSafe(stay["_key"]) & (held["sha"] == stay["_sha"]), "left_semi")
+    # Rows that repeat key and text, of which one stays.
+    return kept.groupBy("sha").agg(F.first("row").alias("row")).select("row.*")

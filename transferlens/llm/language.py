@@ -2,7 +2,7 @@
 
 Texts are read as UTF-8 bytes, ASCII letters in lower case, everything in ASCII that is no letter as one kind of space;
 n-grams of 2, 3 and 4 bytes are hashed into ``BUCKETS`` buckets, those of spaces alone left out. Spark counts them per
-language over at most about ``sample`` training texts; the log-probability matrix (languages x buckets, bounded) is
+language over at most about ``sample`` training texts of each language, so that rare ones are learned at any size; the log-probability matrix (languages x buckets, bounded) is
 broadcast and whole texts are scored in numpy, a bounded block of bytes at a time.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0, as is every text where no language was
@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from transferlens.llm.common import about
 
-SAMPLE = 20_000
+SAMPLE = 5_000
 BUCKETS = 1 << 16
 ORDERS = (2, 3, 4)
 SMOOTHING = 0.5
@@ -99,7 +99,7 @@ def learn(docs: DataFrame, trained: Column, key: str = "doc_id", text: str = "te
     """Languages and their log-probabilities (buckets x languages), from the rows of ``trained`` that have a language."""
     rows = docs.filter(trained & F.col(lang).isNotNull() & F.col(text).isNotNull())
     rows = rows.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    counted = about(rows, "key", sample).select("text", "lang").mapInArrow(count_grams, "lang string, bucket int, n bigint")
+    counted = about(rows, sample, "lang").select("text", "lang").mapInArrow(count_grams, "lang string, bucket int, n bigint")
     table = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(set(table["lang"]))
     counts = np.full((BUCKETS, len(langs)), SMOOTHING)

@@ -19,7 +19,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from transferlens.llm.common import staged
+from transferlens.llm.common import about, staged
 
 Rule = tuple[str, str]
 SAMPLE = 20_000
@@ -94,7 +94,9 @@ def judge(pages: DataFrame, rules: list[Rule], key: str = "page_id", url: str =
     rows = lexical(by_rule(parts(rows), rules))
     label = (F.col("ruled") == "block").cast("double")
     ruled = rows.filter(F.col("ruled").isNotNull()).withColumn("label", label).drop("rule", "ruled")
-    labelled = staged(ruled.orderBy(F.xxhash64("key", "url"), "url").limit(sample), "labelled_urls")
+    # About as many as asked for pass the first filter, so that the exact choice sees no more.
+    drawn = about(ruled, sample + sample // 10)
+    labelled = staged(drawn.orderBy(F.xxhash64("key", "url"), "url").limit(sample), "labelled_urls")
     n, blocked = ruled.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     base = blocked / n if n else 0.0
     if base in (0.0, 1.0):
