@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from transferlens.llm import (
     anchors, content_sort, decontamination, language, mixing, probminhash, suffixes, toxicity, url_trees, wavelet,
 )
-from transferlens.llm.common import held_out
+from transferlens.llm.common import about, held_out
+from transferlens.session import shared_folder
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, key string, row string, score double"
 
@@ -116,7 +117,44 @@ def test_content_sort(docs, texts, empty):
     twice = content_sort.exact_groups(docs.union(docs))
     assert twice.filter("kept").count() == len(groups)
     assert content_sort.exact_groups(empty).count() == 0
-    assert content_sort.drop_copies(docs).columns == docs.columns
+    kept = content_sort.drop_copies(docs.union(docs))
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(ids[0] for ids in groups.values())
+
+
+def test_drop_copies_of_null_and_repeated_keys(spark):
+    rows = [(None, "alone"), (1, "a"), (1, "b"), (0, "b"), (None, "a  a"), (None, "a a"), (3, None), (2, "")]
+    kept = content_sort.drop_copies(spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, sha string"))
+    assert kept.columns == ["doc_id", "text", "sha"]
+    found = sorted(((r.doc_id, re.sub(r"\s+", " ", r.text or "")) for r in kept.collect()), key=str)
+    assert found == sorted([(None, "alone"), (1, "a"), (0, "b"), (None, "a a"), (2, "")], key=str)
+
+
+def test_near_dedup_keeps_texts_that_share_a_key(spark):
+    rng = random.Random(12)
+    words = [f"w{k}" for k in range(300)]
+    one, two, three = (sentence(rng, 40, words) for _ in range(3))
+    rows = [(1, one), (1, two), (1, two), (2, two), (2, three), (3, one), (None, one), (None, two), (4, f"{three} more")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, id string").repartition(2)
+    kept = probminhash.drop_near(docs)
+    found = [(r.doc_id, r.text) for r in kept.collect()]
+    assert kept.columns == docs.columns and {t for k, t in found if k is not None} in ({one, two, three}, {one, two, f"{three} more"})
+    assert sum(k is not None for k, _ in found) == 3 and sum(k is None for k, _ in found) == 2
+    classes = probminhash.near_classes(docs).collect()
+    assert len(classes) == len(rows) and {r.key for r in classes} == {1, 2, 3, 4, None}
+    assert len({r.class_id for r in classes if r.key is not None}) <= 3 and all(r.class_id <= 4 for r in classes if r.key is not None)
+
+
+def test_samples_are_never_empty(spark, monkeypatch):
+    df = spark.range(5000).select(F.col("id").alias("key"), (F.col("id") % 50 == 0).cast("string").alias("lang"))
+    assert 50 < about(df, 100).count() < 200 and about(df, 5000).count() == 5000
+    sizes = {r.lang: r["count"] for r in about(df, 200, "lang").groupBy("lang").count().collect()}
+    assert sizes["true"] == 100 and 100 < sizes["false"] < 300
+    monkeypatch.setattr(type(df), "count", lambda self: 10**11)
+    # One row in five million, so 5,000 rows mostly have none; a share of 0 would leave out every row of any table.
+    with pytest.raises(ValueError, match="empty"):
+        about(df, 20_000)
+    share = (20_000 << 64) // 10**11
+    assert 0 < share < 1 << 64
 
 
 def near_labels(texts):
@@ -166,6 +204,25 @@ def test_signatures_estimate_weighted_similarity():
     assert abs((who[0] == who[1]).mean() - 240 / 360) < 0.17 and (who > 0).all()
 
 
+@pytest.mark.parametrize("share,often", [(0, 1), (2, 100), (4, 100), (2, 1000), (4, 1000)])
+def test_unequal_repeats_do_not_hide_near_copies(share, often):
+    """Pairs of a plain Jaccard similarity of 0.8, of which one text repeats a part of its shingles, meet in a band."""
+    pairs, rng = 400, np.random.default_rng(share + often)
+    owner, hashes, n = [], [], []
+    for i in range(pairs):
+        names = probminhash.repeats.mixed(rng.integers(0, 1 << 62, 100).astype(np.uint64))
+        for text, own in enumerate((names[:90], np.concatenate([names[:80], names[90:]]))):
+            owner.append(np.full(len(own), 2 * i + text))
+            hashes.append(own)
+            times = np.ones(len(own), np.int64)
+            if share and text:
+                times[:: share] = often
+            n.append(times)
+    bands = probminhash.band_hashes(np.concatenate(owner), np.concatenate(hashes), np.concatenate(n), 2 * pairs)
+    assert bands.shape == (2 * pairs, probminhash.BANDS)
+    assert (bands[::2] == bands[1::2]).any(axis=1).mean() >= 0.99
+
+
 def test_templates(spark, docs, empty):
     item = "the train leaves Paris at 10 km per hour and then meets Anna Smith after 30 minutes of slow travel"
     other = "the train leaves Rome at 25 km per hour and then meets Bob after 7 minutes of slow travel"
@@ -296,6 +353,31 @@ def test_token_files_round_trip(docs, texts, empty):
     assert wavelet.encode_documents(empty, file).count() == 0
 
 
+def test_token_files_of_null_keys_repeated_rows_and_long_texts(spark):
+    tokenizers = pytest.importorskip("tokenizers")
+    file = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
+    whole = tokenizers.Tokenizer.from_file(file)
+    rng = random.Random(6)
+    odd = ["".join(rng.choice("aB'9<|>.é \n\x0b\x1fstΣ") for _ in range(60)) for _ in range(200)]
+    odd += ["it's don't ''s a's,'s <|endoftext|> <| x<|startoftext|>y ABC'RE", "12a3 $5.00 !!..", "ﬁ\u00a0x\u2028y e\u0301"]
+    rows = [(None, "no key"), (None, "nor here"), (1, "twin text"), (1, "twin text"), (2, "long text " * 2000), (3, "end")] + list(enumerate(odd, 10))
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id bigint, text string, shard string, n_tokens int").repartition(3)
+    path = shared_folder(spark, "shards")
+    wavelet.write_shards(docs, file, path, tokens=500)
+    found, start = wavelet.read_documents(spark, path).orderBy("start").collect(), 0
+    assert [r.key for r in found] == sorted((k for k, _ in rows), key=lambda k: (k is not None, k))
+    want = {}
+    for key, text in rows:
+        ids = np.array([*whole.encode(text, add_special_tokens=False).ids, 1], "<u4")
+        want.setdefault(key, []).append((len(ids), zlib.crc32(ids.tobytes())))
+    got = {}
+    for r in found:
+        assert r.start == start
+        start += r.n_tokens
+        got.setdefault(r.key, []).append((r.n_tokens, r.ids_crc32))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+
+
 def test_wavelet_access_count_and_lookup():
     ids = np.random.default_rng(3).integers(0, 37, 20_000).astype(np.uint32) * 1000
     shard = wavelet.Shard(wavelet.record(0, [1, None], np.array([5000, 15_000]), ids))

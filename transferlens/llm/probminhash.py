@@ -3,8 +3,10 @@
 A text is its distinct shingles of five words (a shorter text is one shingle), each weighing 1 + ln(occurrences). Every shingle
 draws a Poisson process of arrivals at the rate of its weight, each arrival at a random register; a register keeps its
 first arrival. A shingle stops as soon as its next arrival comes after every register's first, so most stop at
-once. Two texts agree in a register with the probability Jaccard similarity of their weighted shingles. 32 bands of 4
-registers make texts of similarity 0.8 candidates with a chance above 0.9999999 (above 0.999 at 0.7).
+once. Two texts agree in a register with the probability Jaccard similarity of their weighted shingles. Half of the 32 bands of 4
+registers come from weighted shingles; links are decided by plain similarity, so the other half come from shingles that all weigh the same. Texts
+of plain similarity 0.8 become candidates with a chance above 0.9997 however often either repeats its lines, and above 0.9999999 where
+both repeat them alike (0.987 and 0.9998 at 0.7).
 
 Candidates are verified on their whole sets of shingles: a link needs a Jaccard similarity of at least 0.8. Equal texts
 are one text from the start. In each band's bucket all texts are first verified against the smallest one, which costs one
@@ -15,7 +17,9 @@ texts: a task multiplies two incidence matrices and returns only the links that
 texts. No pair of a bucket that could change a class goes unseen; pairs inside a component are never compared.
 
 Defined cases: null and empty texts (and texts of white space alone) are equal only to identical ones; null keys are
-left out of pairs and are classes of their own; rows that repeat a key and a text are one text; an empty table gives an empty result.
+left out of pairs and are classes of their own; rows that repeat a key and a text are one text; rows that share a key but not the text are
+texts of their own (all but one of them count as larger than all keys, so a class keeps the row with the smallest key); an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -70,10 +74,10 @@ def distinct(owner: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndar
     return owner[first], hashes[first], n
 
 
-def signatures(owner: np.ndarray, hashes: np.ndarray, n: np.ndarray, texts: int) -> np.ndarray:
-    """texts x REGISTERS: the shingle that arrives first at each register; 0 for texts without shingles."""
-    first = np.full(texts * REGISTERS, np.inf)
-    who = np.zeros(texts * REGISTERS, np.uint64)
+def signatures(owner: np.ndarray, hashes: np.ndarray, n: np.ndarray, texts: int, registers: int = REGISTERS) -> np.ndarray:
+    """texts x registers: the shingle that arrives first at each register; 0 for texts without shingles."""
+    first = np.full(texts * registers, np.inf)
+    who = np.zeros(texts * registers, np.uint64)
     rate = 1 + np.log(n)
     time, turn, step = np.zeros(len(owner)), 0, 0
     while len(owner):
@@ -81,38 +85,45 @@ def signatures(owner: np.ndarray, hashes: np.ndarray, n: np.ndarray, texts: int)
         turns = np.arange(turn, turn + many, dtype=np.uint64)
         draw = repeats.mixed(hashes[:, None] + (turns + np.uint64(1)) * GOLDEN)
         times = time[:, None] + np.cumsum(-np.log(((draw >> np.uint64(11)).astype(float) + 0.5) / 2.0**53), axis=1) / rate[:, None]
-        at = owner[:, None] * REGISTERS + (repeats.mixed(draw) % np.uint64(REGISTERS)).astype(np.int64)
+        at = owner[:, None] * registers + (repeats.mixed(draw) % np.uint64(registers)).astype(np.int64)
         early = times < first[at]
         places, arrivals, names = at[early], times[early], np.broadcast_to(hashes[:, None], at.shape)[early]
         np.minimum.at(first, places, arrivals)
         won = first[places] == arrivals
         who[places[won]] = names[won]
-        latest = first.reshape(texts, REGISTERS).max(axis=1) if step < 4 else latest_of(first, owner, latest)
+        latest = first.reshape(texts, registers).max(axis=1) if step < 4 else latest_of(first, owner, latest)
         on = times[:, -1] < latest[owner]
         owner, hashes, rate, time = owner[on], hashes[on], rate[on], times[on, -1]
         turn, step = turn + many, step + 1
-    return who.reshape(texts, REGISTERS)
+    return who.reshape(texts, registers)
 
 
 def latest_of(first: np.ndarray, owner: np.ndarray, latest: np.ndarray) -> np.ndarray:
     """Brings ``latest`` up to date for the texts that still draw."""
     open_ = np.unique(owner)
-    latest[open_] = first.reshape(len(latest), REGISTERS)[open_].max(axis=1)
+    latest[open_] = first.reshape(len(latest), -1)[open_].max(axis=1)
     return latest
 
 
+def band_hashes(owner: np.ndarray, hashes: np.ndarray, n: np.ndarray, texts: int) -> np.ndarray:
+    """texts x BANDS: the first half of the bands from weighted shingles, the other half from plain ones."""
+    weighted = signatures(owner, hashes, n, texts, REGISTERS // 2)
+    plain = signatures(owner, repeats.mixed(hashes + GOLDEN), np.ones(len(n), np.int64), texts, REGISTERS // 2)
+    who = np.concatenate([weighted, plain], axis=1).reshape(texts, BANDS, ROWS)
+    band = repeats.mixed(np.arange(1, BANDS + 1, dtype=np.uint64) * GOLDEN)[None, :] + np.zeros((texts, BANDS), np.uint64)
+    for row in range(ROWS):
+        band = repeats.mixed(band * GOLDEN + who[:, :, row])
+    return band
+
+
 def sign(batches):
     """key, digest of the text, band hashes (none for a text without words)."""
-    salt = repeats.mixed(np.arange(1, BANDS + 1, dtype=np.uint64) * GOLDEN)
     for batch in batches:
         data, ends = text_bytes(batch.column("text"))
         for i, j in blocks(ends):
             part, bounds = data[ends[i] : ends[j]], ends[i : j + 1] - ends[i]
             owner, hashes, n = distinct(*shingles(part, bounds))
-            who = signatures(owner, hashes, n, j - i).reshape(j - i, BANDS, ROWS)
-            band = salt[None, :] + np.zeros((j - i, BANDS), np.uint64)
-            for row in range(ROWS):
-                band = repeats.mixed(band * GOLDEN + who[:, :, row])
+            band = band_hashes(owner, hashes, n, j - i)
             has = np.zeros(j - i, bool)
             has[owner] = True
             offsets = np.concatenate([[0], np.cumsum(np.where(has, BANDS, 0))]).astype(np.int32)
@@ -154,9 +165,36 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(compare, "a bigint, b bigint, similarity double").filter(F.col("similarity") >= SIMILAR)
 
 
+def numbered(rows: DataFrame) -> tuple[DataFrame, bool]:
+    """``rows`` (key, text and others) with a number for each text of a key, which is the key where it has one text, and whether all have."""
+    rows = rows.withColumn("print", F.struct(F.xxhash64(F.lit(1), "text").alias("a"), F.xxhash64(F.lit(2), "text").alias("b")))
+    prints = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("print").alias("first"), F.max("print").alias("last"))
+    several = staged(prints.filter("first <> last").select(F.col("key").alias("_key"), "first"), "several_texts")
+    if several.isEmpty():
+        return rows.withColumn("id", F.col("key")).drop("print"), True
+    top = rows.agg(F.max("key")).first()[0]
+    rows = rows.join(several, F.col("key") == F.col("_key"), "left")
+    more = F.lit(top + 1) + F.monotonically_increasing_id()
+    # Written out, as these numbers must not change.
+    given = rows.withColumn("id", F.when(F.col("first").isNull() | (F.col("print") == F.col("first")), F.col("key")).otherwise(more))
+    return staged(given.drop("print", "first", "_key"), "numbered"), False
+
+
 def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key, class_id (the smallest key of its class), text_id (the smallest key with its text)."""
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows, plain = numbered(docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")))
+    found = classes_of(rows.select(F.col("id").alias("key"), "text"))
+    if plain:
+        return found
+    keys = staged(rows.select("id", F.col("key").alias("of")).distinct(), "keys_of_numbers")
+    for name in ("key", "class_id", "text_id"):
+        named = keys.withColumnsRenamed({"id": f"_{name}", "of": f"of_{name}"})
+        found = found.join(named, found[name].eqNullSafe(named[f"_{name}"]))
+    return found.select(*(F.col(f"of_{name}").alias(name) for name in ("key", "class_id", "text_id")))
+
+
+def classes_of(rows: DataFrame) -> DataFrame:
+    """The classes of texts whose keys are their own."""
     signed = staged(rows.mapInArrow(sign, "key bigint, digest binary, bands array<bigint>"), "signed")
     # Tables that are joined on a hot key are written out first, so that both sides are shuffled and the key can be split.
     first = staged(signed.groupBy("digest").agg(F.min("key").alias("text_id")), "first")
@@ -280,9 +318,11 @@ def incidence(columns: np.ndarray, hashes: np.ndarray, rows: np.ndarray, n: int)
 def drop_near(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with the smallest key of each class, one row each; documents without a key stay."""
     names = docs.columns
-    stay = near_classes(docs, key, text).filter("key = class_id").select(F.col("key").alias("_stays")).distinct()
-    held = docs.select(F.struct(*names).alias("row"), F.col(key).alias("_key"), F.col(text).alias("_text"))
-    kept = held.filter(F.col("_key").isNotNull()).join(stay, F.col("_key") == F.col("_stays"), "left_semi")
-    one = Window.partitionBy("_key").orderBy("_text")
+    held = docs.select(F.struct(*names).alias("row"), F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows, _ = numbered(held)
+    stay = classes_of(rows.select(F.col("id").alias("key"), "text")).filter("key = class_id").select(F.col("key").alias("_stays")).distinct()
+    kept = rows.filter(F.col("id").isNotNull()).join(stay, F.col("id") == F.col("_stays"), "left_semi")
+    # Rows that repeat key and text, of which one stays.
+    one = Window.partitionBy("id").orderBy("key")
     kept = kept.withColumn("_n", F.row_number().over(one)).filter("_n = 1")
-    return kept.select("row").union(held.filter(F.col("_key").isNull()).select("row")).select("row.*")
+    return kept.select("row").union(rows.filter(F.col("id").isNull()).select("row")).select("row.*")
