@@ -6,8 +6,9 @@ stably by the higher bits gives. Planes are zstd-compressed; running counts of o
 and select, so access, counting and occurrence lookup need no other file. A file of shards is Parquet, one row per shard:
 shard (a number that grows along the key order), keys, ends (running token counts of the documents), alphabet, planes, ones.
 
-Words are tokenised once per distinct word between ASCII white space, which this vocabulary drops at every break; the
-tokenizer is given the word as it stands. The ``tokenizers`` file is a parameter of the caller.
+Texts are tokenised piece by piece, each distinct piece once (see ``WordTokens``): the vocabulary drops white space, lower-cases, and
+never joins pieces, nor words between ASCII white space. The ``tokenizers`` file is a parameter of the caller; it has to cut as
+``word_bpe_49k.json`` does and to end words with ``WORD_END``.
 
 Defined cases: a null or empty text has the end id alone; null keys come first; repeated rows are encoded each; a text
 longer than a shard makes a shard of its own; an empty table gives an empty result.
@@ -16,7 +17,9 @@ longer than a shard makes a shard of its own; an empty table gives an empty resu
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,16 +31,30 @@ from transferlens.llm.language import blocks, text_bytes
 from transferlens.session import shared_folder
 
 TOKENS = 1 << 20
-BLOCK = 1 << 20
+BLOCK = 2 << 20
 END = 1
 STRIDE = 4096
-CACHE = 120_000
+CACHE = 250_000
+JOINED = 4096
+WORD_END = "</w>"
+APART = "\x02"
 SCHEMA = "shard bigint, n_docs bigint, n_tokens bigint, keys binary, nulls binary, ends binary, alphabet binary, planes array<binary>, ones array<binary>"
 DOCS = "shard bigint, key bigint, inside bigint, n_tokens bigint, ids_crc32 bigint"
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
+# Kinds of bytes: 0 white space, letters, digits, other marks, and those whose words are left to the tokenizer.
+LETTER, DIGIT, MARK, ODD = range(1, 5)
+KIND = np.full(256, MARK, np.uint8)
+KIND[SPACE] = 0
+KIND[65:91] = KIND[97:123] = LETTER
+KIND[48:58] = DIGIT
+KIND[128:] = KIND[ord("'")] = ODD
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+SIMPLE = re.compile(rb"[a-z]+|[0-9]|(?:(?!<\|)[^\x80-\xff'a-zA-Z0-9\s])+").fullmatch
+
 
 def build_planes(ranks: np.ndarray, levels: int) -> list[np.ndarray]:
     """Bits of each level, the highest first, each in the order that the levels above leave."""
@@ -45,7 +62,8 @@ def build_planes(ranks: np.ndarray, levels: int) -> list[np.ndarray]:
     for level in range(levels - 1, -1, -1):
         bits = (ranks >> level & 1).astype(bool)
         planes.append(bits)
-        ranks = np.concatenate([ranks[~bits], ranks[bits]])
+        # Taking by index is faster than by mask.
+        ranks = np.concatenate([ranks.take(np.flatnonzero(~bits)), ranks.take(np.flatnonzero(bits))])
     return planes
 
 
@@ -53,10 +71,9 @@ def read_planes(planes: list[np.ndarray], n: int) -> np.ndarray:
     """All ranks, from the lowest level up."""
     ranks = np.zeros(n, np.uint16 if len(planes) <= 16 else np.uint32)
     for level, bits in enumerate(reversed(planes)):
-        zeros = n - int(np.count_nonzero(bits))
-        above = np.empty_like(ranks)
-        above[~bits] = ranks[:zeros]
-        above[bits] = ranks[zeros:] | (1 << level)
+        above, zeros = np.empty_like(ranks), np.flatnonzero(~bits)
+        above[zeros] = ranks[: len(zeros)]
+        above[np.flatnonzero(bits)] = ranks[len(zeros) :] | (1 << level)
         ranks = above
     return ranks
 
@@ -154,67 +171,137 @@ def record(shard: int, keys: list, lengths: np.ndarray, tokens: np.ndarray) -> d
             "planes": [pack(np.packbits(p).tobytes()) for p in planes], "ones": ones}
 
 
+def as_list(column: pa.Array) -> list[bytes]:
+    """The values of a binary column without nulls, several times as fast as ``to_pylist``."""
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].tolist()
+    held = data.to_pybytes() if data else b""
+    return [held[a:b] for a, b in zip(ends, ends[1:])]
+
+
 class WordTokens:
-    """Token ids of texts, each distinct word of a block encoded once and remembered while it was used among the last
-    ``CACHE`` to twice as many distinct words."""
+    """Token ids of texts, each distinct piece encoded once and remembered while it was used among the last ``CACHE`` to
+    twice as many distinct pieces.
+
+    Words of ASCII letters, digits and marks are cut here where the vocabulary cuts them (runs of letters, single digits, runs of other
+    marks) and lower-cased as it does; many new pieces are encoded as one text, in which the last token of each tells its end. Words with other
+    bytes, an apostrophe or the start of a special token are given to the tokenizer as they stand.
+    """
 
     def __init__(self, file: str):
         # One thread per task, which is what Spark gives it; a pool of its own would cost memory for each thread.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(file).encode_batch_fast
-        self.fresh: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-
-    def look_up(self, words: list[bytes]) -> list[bytes]:
-        found = [self.fresh.get(w) or self.older.get(w) for w in words]
-        missing = list({w for w, ids in zip(words, found, strict=True) if ids is None})
-        encoded = {}
-        for i in range(0, len(missing), 4096):
-            part = missing[i : i + 4096]
-            ids = self.encode([w.decode() for w in part], add_special_tokens=False)
-            encoded.update((w, np.array(e.ids, np.uint32).tobytes()) for w, e in zip(part, ids, strict=True))
-        found = [encoded[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
-        self.fresh.update(zip(words, found, strict=True))
+        tokenizer = Tokenizer.from_file(file)
+        self.encode = tokenizer.encode_batch_fast
+        vocabulary = tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        # A word that no piece looks like, to set words apart that are encoded together.
+        (self.apart,) = self.encode([APART], add_special_tokens=False)[0].ids
+        self.fresh: dict[bytes, int] = {}
+        self.older: dict[bytes, int] = {}
+        # Piece k has the ids flat[stops[k - 1] : stops[k]]; piece 0 is the end id.
+        self.flat, self.stops = np.array([END], np.uint32), np.array([1], np.int32)
+
+    def one_by_one(self, words: list[bytes]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.encode([w.decode() for w in words], add_special_tokens=False)]
+
+    def encoded(self, pieces: list[bytes], plain: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces and where those of each end. They are encoded together; plain pieces end with a token
+        that ends a word, others are set apart by a word of their own."""
+        ids, stops, before = [], [], 0
+        for i in range(0, len(pieces), JOINED):
+            part = pieces[i : i + JOINED]
+            text = b" ".join(part).decode() if plain else f" {APART} ".join([*(w.decode() for w in part), ""])
+            found = np.array(self.encode([text], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(self.last[found]) + 1 if plain else np.flatnonzero(found == self.apart)
+            if len(ends) == len(part):
+                if not plain:
+                    found, ends = np.delete(found, ends), ends - np.arange(len(ends))
+            else:
+                each = self.one_by_one(part)
+                found, ends = np.concatenate(each), np.cumsum([len(x) for x in each])
+            ids.append(found)
+            stops.append(ends + before)
+            before += len(found)
+        return np.concatenate([np.zeros(0, np.uint32), *ids]), np.concatenate([np.zeros(0, np.int64), *stops])
+
+    def look_up(self, pieces: list[bytes]) -> np.ndarray:
+        """The number of each piece."""
+        found = list(map(self.fresh.get, pieces))
+        missing = [w for w, k in zip(pieces, found, strict=True) if k is None]
+        known = {w: k for w in missing if (k := self.older.get(w)) is not None}
+        new = [w for w in missing if w not in known] if known else missing
+        for plain in (True, False):
+            part = [w for w in new if (SIMPLE(w) is not None) is plain]
+            if part:
+                ids, stops = self.encoded(part, plain)
+                known.update(zip(part, range(len(self.stops), len(self.stops) + len(part))))
+                self.flat, self.stops = np.concatenate([self.flat, ids]), np.concatenate([self.stops, (stops + len(self.flat)).astype(np.int32)])
+        self.fresh.update(known)
+        return np.array([known[w] if k is None else k for w, k in zip(pieces, found, strict=True)] if known else found, np.int32)
+
+    def forget(self) -> None:
+        """Drops what was last used before the last ``CACHE`` distinct pieces."""
         if len(self.fresh) > CACHE:
-            self.older, self.fresh = self.fresh, {}
-        return found
+            used = np.concatenate([[0], np.fromiter(self.fresh.values(), np.int64, len(self.fresh))])
+            sizes = np.diff(self.stops, prepend=np.int32(0))[used]
+            stops = np.cumsum(sizes, dtype=np.int32)
+            self.flat = self.flat[np.arange(stops[-1]) + np.repeat(self.stops[used] - stops, sizes)]
+            self.stops = stops
+            self.older, self.fresh = dict(zip(self.fresh, range(1, len(used)))), {}
 
     def tokens(self, data: np.ndarray, ends: np.ndarray, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts i to j, each closed by the end id, and the number of ids of each text."""
         part, bounds = data[ends[i] : ends[j]], ends[i : j + 1] - ends[i]
-        solid = ~SPACE[part]
+        kind = KIND[part]
+        solid = kind > 0
         starts = solid.copy()
         starts[1:] &= ~solid[:-1]
         inner = bounds[:-1][bounds[:-1] < len(part)]
         starts[inner] |= solid[inner]
-        starts = np.flatnonzero(starts)
-        per_text = np.diff(np.searchsorted(starts, bounds))
-        if len(starts):
-            # A word and the white space after it; the tokenizer drops the latter.
-            offsets = np.append(starts, len(part)).astype(np.int32)
-            words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(part)]).dictionary_encode()
-            codes, distinct = words.indices.to_numpy(), [w.rstrip(b" \t\n\v\f\r") for w in words.dictionary.to_pylist()]
+        # Without white space the pieces lie one after the other.
+        at = np.flatnonzero(solid)
+        kind, letters, starts = kind[at], part[at], starts[at]
+        if len(at):
+            odd = kind == ODD
+            special = np.flatnonzero((letters[:-1] == ord("<")) & (letters[1:] == ord("|")))
+            odd[special] = True
+            whole = np.logical_or.reduceat(odd, np.flatnonzero(starts))[np.cumsum(starts, dtype=np.int32) - 1]
+            cut = kind == DIGIT
+            cut[1:] |= kind[1:] != kind[:-1]
+            starts |= cut & ~whole
+            letters = np.where(whole, letters, LOWER[letters])
+            first = np.flatnonzero(starts)
+            offsets = np.append(first, len(at)).astype(np.int32)
+            units = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]).dictionary_encode()
+            codes, distinct = units.indices.to_numpy(), as_list(units.dictionary)
+            per_text = np.diff(np.searchsorted(at[first], bounds))
         else:
-            codes, distinct = np.zeros(0, np.int32), []
-        pieces = [*self.look_up(distinct), np.array([END], np.uint32).tobytes()]
-        sizes = np.array([len(p) // 4 for p in pieces], np.int64)
-        flat = np.frombuffer(b"".join(pieces), np.uint32)
-        first = np.cumsum(sizes) - sizes
-        codes = np.insert(codes, np.cumsum(per_text), len(pieces) - 1)
-        lengths = sizes[codes]
-        stops = np.cumsum(lengths)
-        ids = flat[np.arange(int(stops[-1]) if len(stops) else 0) + np.repeat(first[codes] - stops + lengths, lengths)]
+            codes, distinct, per_text = np.zeros(0, np.int32), [], np.zeros(j - i, np.int64)
+        codes = self.look_up(distinct)[codes] if distinct else codes
+        codes = np.insert(codes, np.cumsum(per_text), 0)
+        lengths = np.diff(self.stops, prepend=np.int32(0))[codes]
+        stops = np.cumsum(lengths, dtype=np.int32)
+        ids = self.flat[np.arange(int(stops[-1]) if len(stops) else 0, dtype=np.int32) + np.repeat(self.stops[codes] - stops, lengths)]
         last = np.cumsum(per_text + 1) - 1
+        self.forget()
         return ids, np.diff(np.concatenate([[0], stops[last]]))
 
 
+@cache
+def tokens_of(file: str) -> WordTokens:
+    """One per Python worker, which serves many tasks: what it remembers is the same for all of them."""
+    return WordTokens(file)
+
+
 def encoder(file: str, tokens: int = TOKENS):
     def encode(batches):
         from pyspark import TaskContext
 
-        words, shard = WordTokens(file), TaskContext.get().partitionId() << 32
+        words, shard = tokens_of(file), TaskContext.get().partitionId() << 32
         keys, lengths, ids, size = [], [], [], 0
 
         def close():
