@@ -48,9 +48,12 @@ def held_out(key: str, modulus: int, remainder: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % modulus == remainder
 
 
-def about(df: DataFrame, rows: int, by: str | None = None) -> DataFrame:
-    """All of ``df``, or some ``rows`` of it (of each value of ``by``) that depend on nothing but what they hold, where it has more."""
-    at = F.xxhash64(*df.columns)
+def about(df: DataFrame, rows: int, by: str | None = None, on: list[str] | None = None) -> DataFrame:
+    """All of ``df``, or some ``rows`` of it (of each value of ``by``) that depend on nothing but what they hold, where it has more.
+
+    ``on`` names the columns that decide; those of one side of a join let Spark draw the sample before it joins.
+    """
+    at = F.xxhash64(*(on or df.columns))
     if by is not None:
         sizes = staged(df.groupBy(by).agg(F.count("*").alias("_rows")), "sample_sizes")
         # The hash as a number from 0 to 1; groups of no more than ``rows`` are taken whole.

@@ -202,7 +202,7 @@ Model = tuple[np.ndarray, float, float, float]
 def learn(labelled: DataFrame, key: str = "doc_id", text: str = "text", toxic: str = "toxic", sample: int = SAMPLE) -> Model:
     """Triple weights, bias, slope and offset, from rows of key, text and 0/1 label."""
     rows = labelled.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(toxic).cast("int").alias("y"))
-    rows = about(rows.filter(F.col("y").isNotNull()), sample)
+    rows = about(rows.filter(F.col("y").isNotNull()), sample, on=["key", "text"])
     words = rows.select("y", F.explode(word_column("text")).alias("word")).filter((F.length("word") > 2) & (F.length("word") <= 40))
     counts = words.groupBy("word").agg(F.sum("y").alias("bad"), F.count("*").alias("n"))
     table = counts.filter("n > 1 OR bad = 0").orderBy(F.desc("bad"), F.desc("n"), "word").limit(VOCABULARY).toPandas()
