@@ -9,6 +9,7 @@ from bench import PARAMETERS
 from checks import queries, views
 from transferlens.functions.amounts import amounts_of
 from transferlens.operators.ledger import token_balances
+from transferlens.operators.ranking import first_per_group
 from transferlens.plans import activity, discovery, holders, tokens
 from transferlens.plans.catalog import ANALYTICS, run_analytic
 from transferlens.schema import ZERO_ADDRESS
@@ -156,6 +157,31 @@ def test_ranking_limits_groups_before_its_shuffle(spark, sf_dir):
     assert "WindowGroupLimit" in text and "Partial" in text
 
 
+@pytest.mark.parametrize("k", [1, 3, 10, 5000])
+def test_first_rows_of_hot_and_small_groups(spark, k):
+    """Ties, a hot group and groups of fewer than k rows, against sorting."""
+    data = [("hot", f"a{i:05}", (i * 7919) % 50) for i in range(20_000)] + [("small", f"b{i}", i) for i in range(4)] + [(None, "c", 1)]
+    df = spark.createDataFrame(data, "g string, address string, v int").repartition(5)
+    rows = first_per_group(df, "g", "address", [F.desc("v"), "address"], k, F.lit(20_000).cast("bigint"))
+    found = {(r.g, r.address) for r in rows.collect()}
+    wanted = set()
+    for g in ("hot", "small", None):
+        wanted |= {(g, a) for _, a in sorted((-v, a) for h, a, v in data if h == g)[:k]}
+    assert found == wanted and rows.columns == df.columns
+
+
+def test_concentration_at_any_number_of_holders(rows, names):
+    t = rows([("t", ZERO_ADDRESS, f"h{i:04}", str(1 + i % 97), T0) for i in range(3000)])
+    m = names(("t", "Token", "TOK", 18))
+    balances = sorted((1 + i % 97 for i in range(3000)), reverse=True)
+    for k in (10, 2000, 5000):
+        row = text(holders.token_concentration(t, m, top_holders=k), f"top_{k}_holders_balance").first()
+        assert row[f"top_{k}_holders_balance"] == str(sum(balances[:k]))
+    plan = holders.token_concentration(t, m, top_holders=5000)._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "Window [row_number()" in line]
+    assert len(sorts) == 2 and sum("_part" in line.split("row_number()")[1] for line in sorts) >= 1
+
+
 def test_approximate_distinct_counts(spark, sf_dir):
     t = views.transfers(spark, sf_dir)
     exact, sketch = activity.ecosystem_summary(t).first(), activity.ecosystem_summary(t, approx=True).first()

@@ -3,11 +3,15 @@
 ``percentile`` keeps every distinct value of a group in one task. Here each pass only aggregates:
 
 1. a logarithmic histogram per group (at most 256 bins per factor of two),
-2. a linear histogram of 4096 pieces inside each bin that holds a wanted rank,
-3. value counts inside each piece that holds a wanted rank.
+2. linear histograms of 4096 pieces inside each cell that holds a wanted rank, again and again until every such cell has
+   at most ``most`` values or a single distinct one,
+3. value counts inside those cells.
 
-All passes combine map-side, so a group with a third of all rows costs no more than the scan. A quantile
-interpolates linearly between the two closest ranks.
+All passes combine map-side, so a group with a third of all rows costs no more than the scan, and no window sees more than
+``most`` rows of a cell however the values lie. One pass of step 2 is enough for nearly all data; a cell of doubles
+of one logarithmic bin is a single value after four. A quantile interpolates linearly between the two closest ranks.
+
+The cells of a pass are written out, so each pass reads the values once and Spark knows the size of what it may broadcast.
 """
 
 from __future__ import annotations
@@ -15,8 +19,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from transferlens.session import staged
+
 BINS_PER_OCTAVE = 256
 PIECES = 4096
+MOST = 100_000
 
 
 def _ranks(quantiles: list[float]) -> Column:
@@ -47,41 +54,47 @@ def _binned(values: DataFrame) -> DataFrame:
     return values.withColumn("bin", F.floor(F.log2(F.col("v") + 1) * BINS_PER_OCTAVE).cast("int"))
 
 
+def _inside(values: DataFrame, cells: DataFrame, keys: list[str]) -> DataFrame:
+    """The values that lie in a cell, with what is known of it. Cells of one key do not overlap."""
+    edges = cells.select(*keys, "bin", "total", "before", "low", "high")
+    return _binned(values).join(edges, [*keys, "bin"]).filter(F.col("v").between(F.col("low"), F.col("high")))
+
+
+def _narrowed(values: DataFrame, cells: DataFrame, keys: list[str], quantiles: list[float]) -> DataFrame:
+    """The pieces of the cells that hold wanted ranks. The least and the greatest value of a cell fall into different ones."""
+    share = F.coalesce(F.try_divide(F.col("v") - F.col("low"), F.col("high") - F.col("low")), F.lit(0.0))
+    inside = _inside(values, cells, keys).withColumn("piece", F.floor(share * PIECES).cast("int"))
+    cell = [*keys, "bin", "cell"]
+    pieces = (
+        inside.withColumnRenamed("low", "cell")
+        .groupBy(*cell, "total", "before", "piece")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    )
+    return _holding_ranks(pieces, cell, "piece", quantiles).select(*cells.columns)
+
+
 def quantiles_from_histogram(
     values: DataFrame,
     histogram: DataFrame,
     keys: list[str],
     quantiles: dict[str, float],
-    small: bool,
+    most: int = MOST,
 ) -> DataFrame:
     """Exact quantiles of ``v`` for the groups in ``histogram`` (from :func:`log_histogram`).
 
-    ``small`` states that the number of groups in ``histogram`` has a fixed bound (a top-k), which bounds
-    the bins of interest to two per quantile and group and makes them safe to broadcast. Otherwise the
-    join strategy is left to Spark.
+    The passes up to the last run here; the result is the last one. A group has at most two cells per quantile, so the cells are
+    as many as the groups, and Spark broadcasts them if their written size allows it.
     """
     wanted = list(quantiles.values())
-    shared = F.broadcast if small else (lambda df: df)
-    group = [*keys, "bin"]
-
     totals = Window.partitionBy(*keys)
     bins = histogram.withColumn("total", F.sum("n").over(totals)).withColumn("before", F.lit(0).cast("bigint"))
-    bins = _holding_ranks(bins, keys, "bin", wanted)
-
-    def inside(narrowed: DataFrame) -> DataFrame:
-        edges = shared(narrowed.select(*group, "total", "before", "low", "high"))
-        return _binned(values).join(edges, group).filter(F.col("v").between(F.col("low"), F.col("high")))
-
-    share = F.coalesce(F.try_divide(F.col("v") - F.col("low"), F.col("high") - F.col("low")), F.lit(0.0))
-    pieces = (
-        inside(bins)
-        .groupBy(*group, "total", "before", F.floor(share * PIECES).cast("int").alias("piece"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
-    )
-    pieces = _holding_ranks(pieces, group, "piece", wanted)
+    cells = staged(_holding_ranks(bins, keys, "bin", wanted).select(*keys, "bin", "total", "before", "n", "low", "high"), "cells")
+    while not cells.filter((F.col("n") > most) & (F.col("low") < F.col("high"))).isEmpty():
+        cells = staged(_narrowed(values, cells, keys, wanted), "cells")
 
-    counts = inside(pieces).groupBy(*group, "low", "total", "before", "v").agg(F.count(F.lit(1)).alias("n"))
-    counts = _holding_ranks(counts, [*group, "low"], "v", wanted)
+    cell = [*keys, "bin", "low"]
+    counts = _inside(values, cells, keys).groupBy(*cell, "total", "before", "v").agg(F.count(F.lit(1)).alias("n"))
+    counts = _holding_ranks(counts, cell, "v", wanted)
 
     def at(rank: Column) -> Column:
         held = (rank >= F.col("before")) & (rank < F.col("before") + F.col("n"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from transferlens.functions.amounts import aggregate, amounts_of
@@ -10,6 +10,7 @@ from transferlens.functions.counting import distinct, transfers
 from transferlens.operators.ledger import token_balances
 from transferlens.operators.metadata_join import with_metadata
 from transferlens.operators.ordering import top
+from transferlens.operators.ranking import first_per_group
 
 
 def top_senders(
@@ -102,19 +103,18 @@ def token_concentration(
 ) -> DataFrame:
     """Share of the positive supply that each token's largest holders own.
 
-    Supply and holder count combine map-side. The ranking keeps ``top_holders`` rows per token and task
-    before it shuffles (a window group limit), so a token with very many holders does not end up whole
-    in one task. Both read the same shuffled balances.
+    Supply and holder count combine map-side. The ranking goes by parts of a token, for any ``top_holders``, so a token with very
+    many holders does not end up whole in one task. Both read the same shuffled balances.
     """
     key = "contract_address"
     balances = token_balances(t)
     amounts = amounts_of(balances, "balance")
     supply = aggregate(balances, [key], [F.count(F.lit(1)).alias("total_holders")], {"total_supply": "balance"})
     supply = supply.filter(F.col("total_holders") >= min_holders)
-    largest_first = Window.partitionBy(key).orderBy(F.desc("balance"), "address")
-    ranked = balances.withColumn("holder_rank", F.row_number().over(largest_first))
+    most = supply.agg(F.coalesce(F.max("total_holders"), F.lit(0))).scalar()
+    ranked = first_per_group(balances, key, "address", [F.desc("balance"), "address"], top_holders, most)
     held = f"top_{top_holders}_holders_balance"
-    largest = aggregate(ranked.filter(F.col("holder_rank") <= top_holders), [key], [], {held: "balance"})
+    largest = aggregate(ranked, [key], [], {held: "balance"})
     shares = supply.join(largest, key).select(
         key,
         "total_holders",

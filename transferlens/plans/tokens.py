@@ -12,9 +12,7 @@ from transferlens.operators.metadata_join import with_metadata
 from transferlens.operators.ordering import top
 from transferlens.operators.quantiles import log_histogram, quantiles_from_histogram
 from transferlens.schema import ZERO_ADDRESS
-
-# A top-k of at most this many tokens is small enough to broadcast.
-BROADCAST_ROWS = 10_000
+from transferlens.session import staged
 
 
 def volume_leaders(
@@ -44,7 +42,8 @@ def transfer_size_distribution(
 ) -> DataFrame:
     """Median, p90 and p99 for the tokens with more than ``min_transfers`` transfers.
 
-    ``method="exact"`` first picks the tokens, then narrows their quantiles down in two more passes.
+    ``method="exact"`` first picks the tokens by their addresses alone, then reads the amounts of these in three passes (more
+    only where many amounts crowd together).
     ``method="approx"`` is one pass with mergeable sketches.
     """
     key = "contract_address"
@@ -58,12 +57,14 @@ def transfer_size_distribution(
         sizes = sketches.filter(F.col("transfers") > min_transfers)
         return top(with_metadata(sizes, m, "symbol", missing=missing), limit, *order)
 
-    histogram = log_histogram(values, [key])
-    active = histogram.groupBy(key).agg(F.sum("n").alias("transfers")).filter(F.col("transfers") > min_transfers)
-    small = limit is not None and limit <= BROADCAST_ROWS
-    chosen = top(active, limit, *order).select(key)
-    chosen = F.broadcast(chosen) if small else chosen
-    sizes = quantiles_from_histogram(values, histogram.join(chosen, key), [key], SIZE_QUANTILES, small)
+    active = t.groupBy(key).agg(transfers().alias("transfers")).filter(F.col("transfers") > min_transfers)
+    if limit is None:
+        # Any number of tokens: bins first, so that only bins are shuffled by token.
+        histogram = log_histogram(values, [key]).join(active.select(key), key)
+    else:
+        values = values.join(staged(top(active, limit, *order).select(key), "tokens"), key, "left_semi")
+        histogram = log_histogram(values, [key])
+    sizes = quantiles_from_histogram(values, histogram, [key], SIZE_QUANTILES)
     named = with_metadata(sizes.withColumnRenamed("total", "transfers"), m, "symbol", missing=missing)
     return named.orderBy(*order)
 
@@ -87,7 +88,7 @@ def whale_transfers(
     else:
         # Without keys the histogram has at most 256 bins per power of two, 65,792 rows in all.
         cutoff = quantiles_from_histogram(
-            values, log_histogram(values, []), [], {"cutoff": quantile}, small=True
+            values, log_histogram(values, []), [], {"cutoff": quantile}
         ).select("cutoff")
     columns = ["contract_address", "from_address", "to_address", "value", "block_timestamp"]
     order = (
