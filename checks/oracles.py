@@ -476,6 +476,7 @@ def oracle_sql() -> dict[str, str]:
     sql["token_balances_u256"] = _with(
         LEDGER, body="SELECT contract_address, address, cast(balance AS VARCHAR) AS balance FROM balances"
     )
+    sql["kept_balances"] = sql["token_balances_u256"]
     sql["holder_distribution"] = _with(
         LEDGER,
         body=f"""SELECT address AS holder_address, balance,

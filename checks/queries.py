@@ -21,6 +21,8 @@ from transferlens.sources import raw_logs as log_source
 from transferlens.sources import transfers as transfer_source
 from transferlens.streaming.daily import stream_daily_activity, stream_daily_users
 from transferlens.streaming.ingest import ingest_stream
+from transferlens.streaming import kept as keep
+from transferlens.streaming.kept import keep_aggregates, merge_kept
 from transferlens.streaming.totals import ingest_totals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -175,6 +177,20 @@ def ingest_running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.withColumn("total_value", amounts_of(totals, "total_value").to_text(F.col("total_value")))
 
 
+def kept_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balances kept up over two landings, late days first, with the files of each taken up in several batches and folded."""
+    table, kept = shared_folder(spark, "transfers"), shared_folder(spark, "kept")
+    t = wide(views.transfers(spark, sf_dir)).withColumn("transaction_hash", F.lit("0x")).select(*LANDED)
+    middle = t.agg(F.max("block_timestamp").alias("b")).select(F.date_sub(F.to_date("b"), 365)).scalar()
+    late = F.to_date("block_timestamp") > middle
+    for landed in (t.filter(late), t.filter(~late)):
+        transfer_source.write_transfers(landed, table)
+        keep_aggregates(spark, table, kept).awaitTermination()
+        merge_kept(spark, kept)
+    balances = keep.kept_balances(spark, kept, 130).drop("chain_id")
+    return _wide_text(balances, "balance")
+
+
 def resume_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last block of a landed chain, from the footers of its files."""
     path = shared_folder(spark, "transfers")
@@ -323,6 +339,7 @@ def registry() -> dict[str, Query]:
         "ingest_stream": ingest,
         "ingest_rejects": ingest_rejects,
         "ingest_totals": ingest_running_totals,
+        "kept_balances": kept_balances,
         "resume_point": resume_point,
         "resume_block": resume_block,
         "catalog_table": catalog_table,

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from transferlens.functions.amounts import (
     DecimalAmounts,
     U256Amounts,
+    aggregate,
     u256_from_hex,
     u256_from_long,
     u256_from_text,
@@ -63,6 +64,17 @@ def test_signed_sums(spark):
         assert row.text == str(expected) and row.positive == (expected > 0)
 
 
+def test_positive_sums_before_the_carry(spark):
+    """Sums around 0, also those whose parts have another sign than the whole."""
+    totals = [0, 1, -1, 2**20, -(2**20), 2**240, -(2**240), 2**240 - 1, 1 - 2**240, 2**255, -(2**255), 2**60 - 1, -(2**60)]
+    pairs = [(k, str(max(n, 0) + 2**250), True) for k, n in enumerate(totals)] + [(k, str(max(-n, 0) + 2**250), False) for k, n in enumerate(totals)]
+    df = spark.createDataFrame(pairs, "k int, digits string, plus boolean").repartition(3)
+    value = u256_from_text(F.col("digits"))
+    df = df.select("k", F.when(F.col("plus"), value).otherwise(U.negate(value)).alias("delta"))
+    kept = {r.k: r.text for r in aggregate(df, ["k"], [], {"x": "delta"}, positive="x").select("k", U.to_text(F.col("x")).alias("text")).collect()}
+    assert kept == {k: str(n) for k, n in enumerate(totals) if n > 0}
+
+
 def test_order_summary_and_bounds(spark):
     values = numbers(3)
     df = frame(spark, values).withColumn("value", u256_from_hex(F.col("digits")))

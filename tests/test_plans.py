@@ -157,6 +157,20 @@ def test_ranking_limits_groups_before_its_shuffle(spark, sf_dir):
     assert "WindowGroupLimit" in text and "Partial" in text
 
 
+def test_generated_methods_are_compiled(spark, sf_dir):
+    """The JVM leaves methods above 8,000 bytes to its interpreter."""
+    t, m = queries.wide(views.transfers(spark, sf_dir)), views.metadata(spark, sf_dir)
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution, "debug.package$"), "MODULE$")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for name in sorted(ANALYTICS):
+            plan = run_analytic(name, t, m, **PARAMETERS[name])._jdf.queryExecution().executedPlan()
+            stages = debug.codegenStringSeq(plan)
+            assert max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) < 8000, name
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 @pytest.mark.parametrize("k", [1, 3, 10, 5000])
 def test_first_rows_of_hot_and_small_groups(spark, k):
     """Ties, a hot group and groups of fewer than k rows, against sorting."""

@@ -134,6 +134,9 @@ class DecimalAmounts:
     def finish_sums(self, df: DataFrame, names: list[str]) -> DataFrame:
         return df
 
+    def positive_sum(self, name: str) -> Column:
+        return F.col(name) > 0
+
     def zero(self) -> Column:
         return F.lit(0).cast(DECIMAL38)
 
@@ -198,6 +201,17 @@ class U256Amounts:
         totals = [self._from_slice_sums([F.col(p) for p in parts]).alias(n) for n, parts in slices.items()]
         return df.select(*others, *totals)
 
+    def positive_sum(self, name: str) -> Column:
+        """Whether partial sums add up to more than 0: carrying the sum less one leaves a top slice that is not negative.
+
+        One chain without the lower bits. A filter on the finished words would be pushed below the carry and repeat it, in
+        generated methods above the 8,000 bytes that the JVM compiles.
+        """
+        carry = F.col(f"{name}_12") - _big(1)
+        for i in range(11, -1, -1):
+            carry = F.col(f"{name}_{i}") + F.shiftright(carry, SLICE_BITS)
+        return carry >= 0
+
     def zero(self) -> Column:
         return _amount([_big(0)] * WORDS)
 
@@ -300,9 +314,11 @@ class U256Amounts:
         )
 
 
-def aggregate(t: DataFrame, keys: list[Column | str], measures: list[Column], totals: dict[str, str]) -> DataFrame:
+def aggregate(
+    t: DataFrame, keys: list[Column | str], measures: list[Column], totals: dict[str, str], positive: str | None = None
+) -> DataFrame:
     """Group by ``keys`` (none for one row): the measures, then one exact total per entry of ``totals``, which
-    maps result names to amount columns.
+    maps result names to amount columns. With ``positive`` only groups whose total of that name is above 0.
 
     The slice sums of a 256-bit total carry in a projection above the aggregate. There the shared parts of the
     carries are evaluated once, while an aggregate's own result expressions would repeat them.
@@ -313,6 +329,9 @@ def aggregate(t: DataFrame, keys: list[Column | str], measures: list[Column], to
         kinds.setdefault(type(amounts), (amounts, []))[1].append(name)
         sums += amounts.partial_sums(name, F.col(column))
     result = t.groupBy(*keys).agg(*measures, *sums)
+    for amounts, names in kinds.values():
+        if positive in names:
+            result = result.filter(amounts.positive_sum(positive))
     for amounts, names in kinds.values():
         result = amounts.finish_sums(result, names)
     return result

@@ -9,8 +9,8 @@ from transferlens.functions.amounts import aggregate, amounts_of
 from transferlens.schema import ZERO_ADDRESS
 
 
-def ledger_entries(t: DataFrame) -> DataFrame:
-    """(contract_address, address, delta), two rows per transfer from a single scan.
+def ledger_entries(t: DataFrame, *others: str) -> DataFrame:
+    """(``others``, contract_address, address, delta), two rows per transfer from a single scan.
 
     The zero address, where tokens are minted and burnt, keeps no account.
     """
@@ -19,7 +19,7 @@ def ledger_entries(t: DataFrame) -> DataFrame:
         F.struct(F.col("to_address").alias("address"), F.col("value").alias("delta")),
         F.struct(F.col("from_address").alias("address"), amounts.negate(F.col("value")).alias("delta")),
     )
-    return t.select("contract_address", F.inline(entries)).filter(F.col("address") != ZERO_ADDRESS)
+    return t.select(*others, "contract_address", F.inline(entries)).filter(F.col("address") != ZERO_ADDRESS)
 
 
 def token_balances(t: DataFrame) -> DataFrame:
@@ -27,5 +27,4 @@ def token_balances(t: DataFrame) -> DataFrame:
 
     The one shuffle is by token and address, after map-side sums, so a hot token spreads over all tasks.
     """
-    balances = aggregate(ledger_entries(t), ["contract_address", "address"], [], {"balance": "delta"})
-    return balances.filter(amounts_of(t).positive(F.col("balance")))
+    return aggregate(ledger_entries(t), ["contract_address", "address"], [], {"balance": "delta"}, positive="balance")

@@ -86,8 +86,7 @@ def user_portfolio(
     amounts = amounts_of(t)
     sent, received = F.col("from_address") == address, F.col("to_address") == address
     own = t.filter(sent | received).withColumn("change", amounts.net(received, sent, F.col("value")))
-    tokens = aggregate(own, ["contract_address"], [], {"balance": "change"})
-    held = tokens.filter(amounts.positive(F.col("balance")))
+    held = aggregate(own, ["contract_address"], [], {"balance": "change"}, positive="balance")
     named = with_metadata(held, m, "name", "symbol", missing=missing)
     return top(named, limit, F.desc("balance"), "contract_address")
 
