@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from transferlens.llm import (
     anchors, content_sort, decontamination, fill_in_middle, language, mixing, prefix_trie, probminhash, suffixes, toxicity, url_trees, warc, wavelet,
 )
-from transferlens.llm.common import held_out, table
+from transferlens.llm.common import held_out, staged, table
 
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 VOCABULARY = "word_bpe_49k.json"
@@ -20,8 +20,10 @@ def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("_id"), "toxic")
     fold = held_out("doc_id", 5, 0)
-    labelled = docs.filter(~fold).join(labels, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "toxic")
-    model = toxicity.learn(labelled)
+    # The sample is drawn from the labels alone, so that only its texts are looked up.
+    drawn = staged(toxicity.draw(labels.filter(~held_out("_id", 5, 0))), "toxicity_labels")
+    labelled = docs.join(drawn, F.col("doc_id") == F.col("_id")).select("text", "toxic", "weight")
+    model = toxicity.learn(labelled, weight="weight")
     return toxicity.score(docs.select("doc_id", fold.alias("held_out"), "text"), model)
 
 
