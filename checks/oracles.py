@@ -115,6 +115,14 @@ balances AS (
   HAVING sum(delta) > 0
 )"""
 
+# Amounts beyond DuckDB's integers, as two numbers: the value is upper * 10^58 + lower.
+HUGE = f"""{METADATA},
+{TRANSFERS},
+huge AS (
+  SELECT *, cast(value AS HUGEINT) * 100000000000 + block_number AS upper, cast(value AS HUGEINT) * 10000000000 + log_index AS lower
+  FROM transfers
+)"""
+
 ALL_CHAINS = f"""{TRANSFERS},
 chains AS (
   SELECT * REPLACE (block_number AS block_number),
@@ -476,6 +484,29 @@ def oracle_sql() -> dict[str, str]:
     sql["token_balances_u256"] = _with(
         LEDGER, body="SELECT contract_address, address, cast(balance AS VARCHAR) AS balance FROM balances"
     )
+    sql["volume_leaders_huge"] = _with(
+        HUGE,
+        body="""SELECT contract_address, name, symbol, decimals, transfer_count,
+                 ltrim(u || lpad(cast(l AS VARCHAR), 58, '0'), '0') AS total_volume, ltrim(largest, '0') AS largest_transfer
+          FROM (SELECT contract_address, count(*) AS transfer_count, sum(upper) AS u, sum(lower) AS l,
+                       max(lpad(cast(upper AS VARCHAR), 20, '0') || lpad(cast(lower AS VARCHAR), 58, '0')) AS largest
+                FROM huge GROUP BY contract_address)
+          LEFT JOIN metadata USING (contract_address)
+          ORDER BY u DESC, l DESC, contract_address LIMIT 20""",
+    )
+    sql["token_balances_huge"] = _with(
+        HUGE,
+        body=f"""SELECT contract_address, address, ltrim(
+                 CASE WHEN l >= 0 THEN u || lpad(cast(l AS VARCHAR), 58, '0')
+                      ELSE (u - 1) || repeat('9', 20) || lpad(cast(100000000000000000000000000000000000000::HUGEINT + l AS VARCHAR), 38, '0') END,
+                 '0') AS balance
+          FROM (SELECT contract_address, address, sum(u) AS u, sum(l) AS l
+                FROM (SELECT contract_address, to_address AS address, upper AS u, lower AS l FROM huge
+                      UNION ALL
+                      SELECT contract_address, from_address, -upper, -lower FROM huge)
+                WHERE address <> '{ZERO_ADDRESS}' GROUP BY contract_address, address)
+          WHERE u > 0 OR (u = 0 AND l > 0)""",
+    )
     sql["kept_balances"] = sql["token_balances_u256"]
     sql["holder_distribution"] = _with(
         LEDGER,

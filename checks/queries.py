@@ -326,6 +326,22 @@ def token_balances_u256(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wide_text(token_balances(wide(views.transfers(spark, sf_dir))), "balance")
 
 
+def huge(t: DataFrame) -> DataFrame:
+    """Amounts of 76 digits, close to 2^255 and so above it in sums: the derived amount and its block, 58 digits higher, and its log below."""
+    value = F.col("value").cast("bigint")
+    upper, lower = value * 10**11 + F.col("block_number"), value * 10**10 + F.col("log_index")
+    return t.withColumn("value", u256_from_text(F.concat(upper.cast("string"), F.lpad(lower.cast("string"), 58, "0"))))
+
+
+def volume_leaders_huge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaders = tokens.volume_leaders(huge(views.transfers(spark, sf_dir)), views.metadata(spark, sf_dir))
+    return _wide_text(leaders.drop("avg_transfer_size"), "total_volume", "largest_transfer")
+
+
+def token_balances_huge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _wide_text(token_balances(huge(views.transfers(spark, sf_dir))), "balance")
+
+
 def registry() -> dict[str, Query]:
     as_of = {"as_of": views.AS_OF}
     return {
@@ -392,4 +408,6 @@ def registry() -> dict[str, Query]:
         # 256-bit amounts
         "volume_leaders_u256": volume_leaders_u256,
         "token_balances_u256": token_balances_u256,
+        "volume_leaders_huge": volume_leaders_huge,
+        "token_balances_huge": token_balances_huge,
     }
