@@ -11,6 +11,7 @@ from transferlens.operators.ledger import token_balances
 from transferlens.operators.metadata_join import with_metadata
 from transferlens.operators.ordering import top
 from transferlens.operators.ranking import first_per_group
+from transferlens.session import staged
 
 
 def top_senders(
@@ -103,10 +104,10 @@ def token_concentration(
     """Share of the positive supply that each token's largest holders own.
 
     Supply and holder count combine map-side. The ranking goes by parts of a token, for any ``top_holders``, so a token with very
-    many holders does not end up whole in one task. Both read the same shuffled balances.
+    many holders does not end up whole in one task. The balances are computed once and written; both read them.
     """
     key = "contract_address"
-    balances = token_balances(t)
+    balances = staged(token_balances(t), "balances")
     amounts = amounts_of(balances, "balance")
     supply = aggregate(balances, [key], [F.count(F.lit(1)).alias("total_holders")], {"total_supply": "balance"})
     supply = supply.filter(F.col("total_holders") >= min_holders)
