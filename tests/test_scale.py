@@ -34,3 +34,14 @@ def test_shuffles_get_as_many_partitions_as_rows_fill(spark, sf_dir, monkeypatch
     rows = views.table(spark, sf_dir, "lineitem").count()
     for view in (views.transfers, views.chain_transfers):
         assert executed(view(spark, sf_dir)).count(f"{-(-rows // 100)})") >= 2
+
+
+def test_amounts_go_to_and_from_text_without_decimals(spark):
+    values = [0, 7, 2**63 - 1, 2**63, 2**120, 10**77, 2**256 - 1]
+    df = spark.createDataFrame([(str(v), format(v, "064x")) for v in values], "t string, h string").repartition(2)
+    text = df.select("t", U.to_text(u256_from_hex(F.col("h"))).alias("of_hex"), U.to_text(u256_from_text(F.col("t"))).alias("of_text"))
+    assert "decimal" not in executed(text).lower()
+    assert all(r.of_hex == r.of_text == r.t for r in text.collect())
+    for wrong in ("-1234567", " 12345678", "12x"):
+        with pytest.raises(PySparkException):
+            spark.createDataFrame([(wrong,)], "t string").select(u256_from_text(F.col("t"))).collect()
