@@ -36,6 +36,25 @@ def test_shuffles_get_as_many_partitions_as_rows_fill(spark, sf_dir, monkeypatch
         assert executed(view(spark, sf_dir)).count(f"{-(-rows // 100)})") >= 2
 
 
+def test_ingest_spread_by_rows_caches_nothing_and_lands_each_log_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 2)
+    monkeypatch.setattr(DataFrame, "persist", no_cache)
+    logs, blocks, table, rejects, checkpoint = (str(tmp_path / n) for n in ("logs", "blocks", "table", "rejects", "checkpoint"))
+    first = [log(b, i, 10 * b + i) for b in range(1, 5) for i in range(3)]
+    bad = [log(1, None, 6), log(1, 7, 7, data="0x01"), log(2, 9, 1, topics=None)]
+    for known, delivered in ((range(1, 3), [*first, first[0], *bad]), (range(3, 6), [*first, log(5, 0, 50), log(5, 0, 50)])):
+        blocks_of(spark, *known).write.mode("append").parquet(blocks)
+        logs_of(spark, *delivered).write.mode("append").parquet(logs)
+        ingest_stream(spark, logs, blocks, table, checkpoint, rejects_path=rejects).awaitTermination()
+    expected = [(b, i, str(10 * b + i)) for b in range(1, 5) for i in range(3)] + [(5, 0, "50")]
+    assert shown(transfers.read_transfers(spark, table)) == expected
+    wanted = raw_logs.decode_rejects(logs_of(spark, *bad))
+    found = spark.read.parquet(rejects).drop("batch")
+    assert found.columns == wanted.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))
+    assert not files.exists(spark, f"{checkpoint}/staged")
+
+
 def test_amounts_go_to_and_from_text_without_decimals(spark):
     values = [0, 7, 2**63 - 1, 2**63, 2**120, 10**77, 2**256 - 1]
     df = spark.createDataFrame([(str(v), format(v, "064x")) for v in values], "t string, h string").repartition(2)

@@ -59,18 +59,31 @@ def _address(word: Column) -> Column:
     return F.concat(F.lit("0x"), F.lower(F.right(word, F.lit(40))))
 
 
+def _parsed() -> dict[str, Column]:
+    return {
+        "block_number": F.col("block_number"),
+        "log_index": F.col("log_index"),
+        "transaction_hash": F.coalesce("transaction_hash", F.lit("0x0")),
+        "contract_address": F.lower(F.coalesce("address", F.lit("0x0"))),
+        "from_address": _address(_topic(2)),
+        "to_address": _address(_topic(3)),
+        "value": amount(),
+    }
+
+
 def parse_logs(logs: DataFrame) -> DataFrame:
     """Decodable logs as (block_number, log_index, transaction_hash, contract_address, from_address,
     to_address, value). A missing hash or address gets a default. Stateless, so it also runs on streams."""
-    return transfer_logs(logs).filter(decodable()).select(
-        "block_number",
-        "log_index",
-        F.coalesce("transaction_hash", F.lit("0x0")).alias("transaction_hash"),
-        F.lower(F.coalesce("address", F.lit("0x0"))).alias("contract_address"),
-        _address(_topic(2)).alias("from_address"),
-        _address(_topic(3)).alias("to_address"),
-        amount().alias("value"),
-    )
+    return transfer_logs(logs).filter(decodable()).select(*(c.alias(name) for name, c in _parsed().items()))
+
+
+def sorted_out(logs: DataFrame) -> DataFrame:
+    """Every Transfer log in one pass: the columns of ``parse_logs`` where it decodes, else ``reject``, the row of ``decode_rejects``.
+    The others are NULL. Stateless, so it also runs on streams."""
+    told = transfer_logs(logs).withColumn("_decodes", decodable())
+    decodes = F.col("_decodes")
+    parsed = (F.when(decodes, c).alias(name) for name, c in _parsed().items())
+    return told.select(*parsed, F.when(~decodes, F.struct(*_rejected())).alias("reject"))
 
 
 def with_block_time(
@@ -101,16 +114,16 @@ def decode_transfers(logs: DataFrame, blocks: DataFrame, chain_id: int = DEFAULT
     return with_block_time(parse_logs(logs), blocks, chain_id)
 
 
-def decode_rejects(logs: DataFrame) -> DataFrame:
-    """Transfer logs that do not decode, with the reason."""
+def _rejected() -> list[Column | str]:
     reason = (
         F.when(~_topic_count_ok(), "topic count is not 3")
         .when(~_topics_ok(), "topic is not a 32-byte word")
         .when(~_is_word(F.col("data")), "data is not a 32-byte word")
         .otherwise("block number or log index is missing")
     )
-    return (
-        transfer_logs(logs)
-        .filter(~decodable())
-        .select("block_number", "log_index", "transaction_hash", "address", "topics", "data", reason.alias("reason"))
-    )
+    return ["block_number", "log_index", "transaction_hash", "address", "topics", "data", reason.alias("reason")]
+
+
+def decode_rejects(logs: DataFrame) -> DataFrame:
+    """Transfer logs that do not decode, with the reason."""
+    return transfer_logs(logs).filter(~decodable()).select(*_rejected())

@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from transferlens.schema import DEFAULT_CHAIN, RAW_LOGS, check_chain
-from transferlens.sources.raw_logs import amount, decodable, decode_rejects, parse_logs, read_blocks, transfer_logs, with_block_time
+from transferlens.session import spread
+from transferlens.sources.raw_logs import parse_logs, read_blocks, sorted_out, with_block_time
 from transferlens.sources import files
 from transferlens.sources.transfers import IDENTITY, landed_or_none, write_transfers
 from transferlens.streaming.totals import VALUE, keep_totals, measures
@@ -21,19 +22,19 @@ def not_yet_landed(batch: DataFrame, landed: DataFrame | None) -> DataFrame:
     Only the identity columns of the days and blocks that the batch spans are read from the table: both
     ranges reach the scan, as partition filters and as row-group filters.
     """
-    fresh = batch.dropDuplicates(IDENTITY)
-    if landed is None:
-        return fresh
     day = F.to_date("block_timestamp")
-    first_block, last_block, first_day, last_day = batch.agg(
-        F.min("block_number"), F.max("block_number"), F.min(day), F.max(day)
+    first_block, last_block, first_day, last_day, rows = batch.agg(
+        F.min("block_number"), F.max("block_number"), F.min(day), F.max(day), F.count(F.lit(1))
     ).first()
-    if first_block is None:
-        return fresh
+    if landed is None or first_block is None:
+        return spread(batch, rows, *IDENTITY).dropDuplicates(IDENTITY)
     known = landed.filter(
         F.col("block_number").between(first_block, last_block) & F.col("block_date").between(first_day, last_day)
-    )
-    return fresh.join(known.select(*IDENTITY), IDENTITY, "left_anti")
+    ).select(*IDENTITY)
+    # Both sides are dealt by the identity once, which the duplicates and the join then share.
+    rows = max(rows, known.count())
+    fresh = spread(batch, rows, *IDENTITY).dropDuplicates(IDENTITY)
+    return fresh.join(spread(known, rows, *IDENTITY), IDENTITY, "left_anti")
 
 
 def waiting_logs(spark: SparkSession, path: str) -> DataFrame | None:
@@ -76,45 +77,49 @@ def ingest_stream(
     """
     check_chain(chain_id)
     waiting_path = f"{checkpoint}/waiting"
-    logs = transfer_logs(
-        spark.readStream.schema(RAW_LOGS).format(fmt).option("maxFilesPerTrigger", max_files).load(logs_path)
-    )
-    valued = logs.withColumn(VALUE, F.when(decodable(), amount()))
-    observed = valued.observe("ingest", *measures()).drop(VALUE)
+    logs = spark.readStream.schema(RAW_LOGS).format(fmt).option("maxFilesPerTrigger", max_files).load(logs_path)
+    observed = sorted_out(logs).withColumnRenamed("value", VALUE).observe("ingest", *measures())
+    observed = observed if rejects_path else observed.drop("reject")
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        """Written and read back; the next batch takes its place. A cache would hold wide rows in memory and leave Spark without their number."""
+        path = f"{checkpoint}/staged/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
 
     def land(session: SparkSession, parsed: DataFrame, waiting_to: str | None) -> None:
-        parsed = parsed.persist()
-        first, last = parsed.agg(F.min("block_number"), F.max("block_number")).first()
+        first, last, rows = parsed.agg(F.min("block_number"), F.max("block_number"), F.count(F.lit(1))).first()
         blocks = read_blocks(session, blocks_path, fmt).filter(F.col("block_number").between(first, last))
-        timed = with_block_time(parsed, blocks, chain_id, F.lit(None).cast("timestamp")).persist()
-        try:
-            known = timed.filter(F.col("block_timestamp").isNotNull())
-            write_transfers(not_yet_landed(known, landed_or_none(session, table_path)), table_path)
-            if waiting_to:
-                unknown = timed.filter(F.col("block_timestamp").isNull()).dropDuplicates(IDENTITY)
-                unknown.select(*parsed.columns).write.mode("overwrite").parquet(waiting_to)
-        finally:
-            timed.unpersist()
-            parsed.unpersist()
+        rows = max(rows, blocks.count())
+        both = (spread(df, rows, "block_number") for df in (parsed, blocks))
+        timed = stage(with_block_time(*both, chain_id, F.lit(None).cast("timestamp")), "timed")
+        known = timed.filter(F.col("block_timestamp").isNotNull())
+        write_transfers(not_yet_landed(known, landed_or_none(session, table_path)), table_path)
+        if waiting_to:
+            unknown = timed.filter(F.col("block_timestamp").isNull())
+            unknown = spread(unknown, unknown.count(), *IDENTITY).dropDuplicates(IDENTITY)
+            unknown.select(*parsed.columns).write.mode("overwrite").parquet(waiting_to)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        batch = batch.persist()  # read, and observed, once
-        parsed = parse_logs(batch)
+        batch = stage(batch, "logs")  # read, decoded and observed once
+        parsed = batch.filter(F.col(VALUE).isNotNull()).withColumnRenamed(VALUE, "value").drop("reject")
         waiting = waiting_logs(session, waiting_path)
         if waiting is not None:
             parsed = parsed.unionByName(waiting.filter(F.col("batch") < batch_id).drop("batch"))
         land(session, parsed, f"{waiting_path}/batch={batch_id}")
         if rejects_path:
-            decode_rejects(batch).write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
-        keep_totals(batch.withColumn(VALUE, F.when(decodable(), amount())), checkpoint, batch_id)
-        batch.unpersist()
+            rejects = batch.filter(F.col("reject").isNotNull()).select("reject.*")
+            rejects.write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
+        keep_totals(batch, checkpoint, batch_id)
+        files.delete(session, f"{checkpoint}/staged")
         # A replay of this batch needs what the batch before it left; what is older has been carried on.
         files.delete(session, f"{waiting_path}/batch={batch_id - 2}")
 
     waiting = waiting_logs(spark, waiting_path)
     if waiting is not None:
         land(spark, waiting.drop("batch"), None)
+        files.delete(spark, f"{checkpoint}/staged")
     return (
         observed.writeStream.foreachBatch(process)
         .option("checkpointLocation", checkpoint)
