@@ -55,6 +55,16 @@ def test_ingest_spread_by_rows_caches_nothing_and_lands_each_log_once(spark, tmp
     assert not files.exists(spark, f"{checkpoint}/staged")
 
 
+def test_kept_aggregates_cache_nothing(spark, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(DataFrame, "persist", no_cache)
+    table, kept = str(tmp_path / "table"), str(tmp_path / "kept")
+    t = rows([("t", "a", "b", "5", "2024-01-01 00:00:00"), ("t", "b", "c", "2", "2024-01-02 00:00:00")])
+    transfers.write_transfers(t.withColumn("transaction_hash", F.lit("0x")), table)
+    keep_aggregates(spark, table, kept).awaitTermination()
+    found = kept_balances(spark, kept).select("address", U.to_text(F.col("balance")).alias("balance")).collect()
+    assert sorted(map(tuple, found)) == [("b", "3"), ("c", "2")]
+
+
 def test_amounts_go_to_and_from_text_without_decimals(spark):
     values = [0, 7, 2**63 - 1, 2**63, 2**120, 10**77, 2**256 - 1]
     df = spark.createDataFrame([(str(v), format(v, "064x")) for v in values], "t string, h string").repartition(2)
