@@ -74,3 +74,7 @@ def test_amounts_go_to_and_from_text_without_decimals(spark):
     for wrong in ("-1234567", " 12345678", "12x"):
         with pytest.raises(PySparkException):
             spark.createDataFrame([(wrong,)], "t string").select(u256_from_text(F.col("t"))).collect()
+
+
+def test_logs_are_staged_compressed(spark, sf_dir):
+    assert all(f.endswith(".json.gz") for f in queries.raw_logs_source(spark, sf_dir).inputFiles())
