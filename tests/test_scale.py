@@ -76,5 +76,14 @@ def test_amounts_go_to_and_from_text_without_decimals(spark):
             spark.createDataFrame([(wrong,)], "t string").select(u256_from_text(F.col("t"))).collect()
 
 
+def test_replaced_rows_are_dealt_once(spark, rows, tmp_path, monkeypatch):
+    path, saved, real = str(tmp_path / "table"), [], transfers._save
+    old = rows([("t", "a", "b", str(i), f"2024-01-0{i} 00:00:00") for i in range(1, 4)]).withColumn("transaction_hash", F.lit("0x"))
+    transfers.write_transfers(old.filter("block_number < 12"), path)
+    monkeypatch.setattr(transfers, "_save", lambda t, to, mode: (saved.append(to), real(t, to, mode)))
+    assert transfers.replace_last_block(spark, path, old, 130) == 11
+    assert saved == [path] and shown(transfers.read_transfers(spark, path)) == shown(old)
+
+
 def test_logs_are_staged_compressed(spark, sf_dir):
     assert all(f.endswith(".json.gz") for f in queries.raw_logs_source(spark, sf_dir).inputFiles())
