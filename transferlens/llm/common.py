@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +45,24 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def lean(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``function`` for ``mapInArrow``, where a Python worker returns the memory that Arrow keeps for later batches.
+
+    Workers outlive their tasks, so what one stage keeps would count in all stages after it.
+    """
+
+    def run(batches):
+        try:
+            for batch in function(batches):
+                yield batch
+                del batch
+                pa.default_memory_pool().release_unused()
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return run
+
+
 def held_out(key: str, modulus: int, remainder: int) -> Column:
     """Whether crc32 of the key's text falls into the fold that training never sees; a null key counts as ''."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % modulus == remainder

@@ -3,7 +3,7 @@
 Texts are read as UTF-8 bytes, ASCII letters in lower case, everything in ASCII that is no letter as one kind of space;
 n-grams of 2, 3 and 4 bytes are hashed into ``BUCKETS`` buckets, those of spaces alone left out. Spark counts them per
 language over at most about ``sample`` training texts of each language, so that rare ones are learned at any size; the log-probability matrix (languages x buckets, bounded) is
-broadcast and whole texts are scored in numpy, a bounded block of bytes at a time.
+broadcast and whole texts are scored in numpy, a bounded block of bytes at a time; a longer text is taken in parts.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0, as is every text where no language was
 learned; other texts get a learned language; repeated rows are judged alike; an empty table gives an empty result.
@@ -20,13 +20,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from transferlens.llm.common import about
+from transferlens.llm.common import about, lean
 
 SAMPLE = 5_000
 BUCKETS = 1 << 16
 ORDERS = (2, 3, 4)
 SMOOTHING = 0.5
 BLOCK = 2 << 20
+# Bytes that are read as n-grams at once: they take some 50 times as much memory.
+PART = 256 << 10
 UNKNOWN = "und"
 
 SYMBOL = np.zeros(256, np.uint32)
@@ -66,6 +68,24 @@ def padded(data: np.ndarray, ends: np.ndarray, i: int, j: int) -> tuple[np.ndarr
     return out, starts
 
 
+def parts(data: np.ndarray, ends: np.ndarray, most: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, int]]:
+    """Texts i to j with their padded symbols and starts, and in how many places of a text n-grams start.
+
+    They hold about ``most`` bytes (by default PART). A longer text comes in parts that overlap by what its last n-grams need.
+    """
+    most = most or PART
+    for i, j in blocks(ends, most):
+        a, b = int(ends[i]), int(ends[j])
+        if b - a <= most:
+            yield i, j, *padded(data, ends, i, j), most + 2
+            continue
+        for p in range(a - 1, b + 1, most):
+            q = min(p + most + max(ORDERS) - 1, b + 1)
+            symbols = np.zeros(q - p, np.uint32)
+            symbols[max(a - p, 0) : min(q, b) - p] = SYMBOL[data[max(p, a) : min(q, b)]]
+            yield i, j, symbols, np.array([0, q - p]), most
+
+
 def grams(symbols: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
     """Bucket of the n-gram that starts at each place, and whether it holds a letter."""
     n = max(len(symbols) - order + 1, 0)
@@ -83,11 +103,11 @@ def count_grams(batches):
         data, ends = text_bytes(batch.column("text"))
         langs = batch.column("lang").to_pylist()
         for i, lang in enumerate(langs):
-            symbols, _ = padded(data, ends, i, i + 1)
             into = sums.setdefault(lang, np.zeros(BUCKETS, np.int64))
-            for order in ORDERS:
-                found, real = grams(symbols, order)
-                into += np.bincount(found[real], minlength=BUCKETS)
+            for _, _, symbols, _, most in parts(data, ends[i : i + 2]):
+                for order in ORDERS:
+                    found, real = (x[:most] for x in grams(symbols, order))
+                    into += np.bincount(found[real], minlength=BUCKETS)
     for lang, counts in sums.items():
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays(
@@ -99,7 +119,7 @@ def learn(docs: DataFrame, trained: Column, key: str = "doc_id", text: str = "te
     """Languages and their log-probabilities (buckets x languages), from the rows of ``trained`` that have a language."""
     rows = docs.filter(trained & F.col(lang).isNotNull() & F.col(text).isNotNull())
     rows = rows.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    counted = about(rows, sample, "lang").select("text", "lang").mapInArrow(count_grams, "lang string, bucket int, n bigint")
+    counted = about(rows, sample, "lang").select("text", "lang").mapInArrow(lean(count_grams), "lang string, bucket int, n bigint")
     table = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(set(table["lang"]))
     counts = np.full((BUCKETS, len(langs)), SMOOTHING)
@@ -111,11 +131,10 @@ def log_scores(column: pa.Array, matrix: np.ndarray) -> np.ndarray:
     """Log-likelihood of each text under each language, over whole texts."""
     data, ends = text_bytes(column)
     out = np.zeros((len(ends) - 1, matrix.shape[1]))
-    for i, j in blocks(ends):
-        symbols, starts = padded(data, ends, i, j)
+    for i, j, symbols, starts, most in parts(data, ends):
         for order in ORDERS:
             found, real = grams(symbols, order)
-            within = np.maximum(np.diff(starts) - order + 1, 0)
+            within = np.clip(np.diff(starts) - order + 1, 0, most)
             for lang in range(matrix.shape[1]):
                 terms = matrix[:, lang][found]
                 terms *= real
@@ -151,4 +170,4 @@ def predict(docs: DataFrame, langs: list[str], matrix: np.ndarray, text: str = "
 
     wanted = list(docs.columns)
     fields = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return docs.withColumn("_letters", plain).mapInArrow(score, fields)
+    return docs.withColumn("_letters", plain).mapInArrow(lean(score), fields)

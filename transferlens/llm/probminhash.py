@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from transferlens.llm import repeats
 from transferlens.llm.anchors import word_hashes
-from transferlens.llm.common import staged
+from transferlens.llm.common import lean, staged
 from transferlens.llm.components import components
 from transferlens.llm.language import blocks, text_bytes
 from transferlens.llm.suffixes import safe
@@ -162,7 +162,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     left = sets.select(F.col("key").alias("a"), F.col("set").alias("set_a"))
     right = sets.select(F.col("key").alias("b"), F.col("set").alias("set_b"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b")
-    return both.mapInArrow(compare, "a bigint, b bigint, similarity double").filter(F.col("similarity") >= SIMILAR)
+    return both.mapInArrow(lean(compare), "a bigint, b bigint, similarity double").filter(F.col("similarity") >= SIMILAR)
 
 
 def numbered(rows: DataFrame) -> tuple[DataFrame, bool]:
@@ -195,7 +195,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 def classes_of(rows: DataFrame) -> DataFrame:
     """The classes of texts whose keys are their own."""
-    signed = staged(rows.mapInArrow(sign, "key bigint, digest binary, bands array<bigint>"), "signed")
+    signed = staged(rows.mapInArrow(lean(sign), "key bigint, digest binary, bands array<bigint>"), "signed")
     # Tables that are joined on a hot key are written out first, so that both sides are shuffled and the key can be split.
     first = staged(signed.groupBy("digest").agg(F.min("key").alias("text_id")), "first")
     texts = staged(signed.join(first, "digest").select("key", "text_id", "bands"), "texts")
@@ -207,7 +207,7 @@ def classes_of(rows: DataFrame) -> DataFrame:
     wanted = pairs.select(F.col("a").alias("_k")).union(pairs.select("b")).union(buckets.filter("n > 2").select("key")).distinct()
     sets = rows.join(wanted, F.col("key") == F.col("_k"), "left_semi").dropDuplicates(["key", "text"])
     own = texts.filter("key = text_id").select(F.col("key").alias("_k")).distinct()
-    sets = staged(sets.mapInArrow(pack_sets, "key bigint, set binary").join(own, F.col("key") == F.col("_k"), "left_semi"), "sets")
+    sets = staged(sets.mapInArrow(lean(pack_sets), "key bigint, set binary").join(own, F.col("key") == F.col("_k"), "left_semi"), "sets")
     links = staged(verified(pairs, sets), "links")
     labels = components(links)
     rest = staged(outside(buckets.filter("n > 2"), labels), "rest")

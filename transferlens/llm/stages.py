@@ -14,9 +14,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language cannot be told: those without a text or a letter."""
     ship(spark)
     langs, matrix = languages.learn(docs, ~held_out("doc_id", 4, 2))
-    held = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    # The text goes to Python once, beside the other columns and not among them.
+    others = [c for c in docs.columns if c != "text"]
+    held = docs.select(F.struct(*others).alias("row"), "text")
     judged = languages.predict(held, langs, matrix)
-    return judged.filter(F.col("lang_pred") != languages.UNKNOWN).select("row.*")
+    return judged.filter(F.col("lang_pred") != languages.UNKNOWN).select(*("text" if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

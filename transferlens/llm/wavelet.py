@@ -27,11 +27,12 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from transferlens.llm.common import lean
 from transferlens.llm.language import blocks, text_bytes
 from transferlens.session import shared_folder
 
 TOKENS = 1 << 20
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 END = 1
 STRIDE = 4096
 CACHE = 250_000
@@ -333,7 +334,7 @@ ARROW = pa.schema([("shard", pa.int64()), ("n_docs", pa.int64()), ("n_tokens", p
 def write_shards(docs: DataFrame, file: str, path: str, key: str = "doc_id", text: str = "text", tokens: int = TOKENS) -> None:
     rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.repartitionByRange("key").sortWithinPartitions("key")
-    rows.mapInArrow(encoder(file, tokens), SCHEMA).write.parquet(path)
+    rows.mapInArrow(lean(encoder(file, tokens)), SCHEMA).write.parquet(path)
 
 
 def decode(batches):
@@ -355,7 +356,7 @@ def read_documents(spark, path: str) -> DataFrame:
     shards = spark.read.schema(SCHEMA).parquet(path)
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     starts = shards.select(F.col("shard").alias("_shard"), F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("_start"))
-    docs = shards.mapInArrow(decode, DOCS)
+    docs = shards.mapInArrow(lean(decode), DOCS)
     joined = docs.join(starts, docs["shard"] == starts["_shard"])
     return joined.select("key", (F.col("_start") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
 
