@@ -9,10 +9,21 @@ from transferlens.llm import decontamination, mixing, probminhash, wavelet
 from transferlens.llm import language as languages
 from transferlens.llm.common import held_out, ship, table
 
+# Rows that Spark hands to Python at once. They hold whole texts: its 10,000 would be tens of MB for each task, in the JVM and again in Python.
+BATCH = 1_000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Sends the package, and has Spark hand over few rows at once unless the session asks for fewer still."""
+    ship(spark)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH:
+        spark.conf.set(rows, str(BATCH))
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language cannot be told: those without a text or a letter."""
-    ship(spark)
+    prepare(spark)
     langs, matrix = languages.learn(docs, ~held_out("doc_id", 4, 2))
     # The text goes to Python once, beside the other columns and not among them.
     others = [c for c in docs.columns if c != "text"]
@@ -23,7 +34,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each class of near copies."""
-    ship(spark)
+    prepare(spark)
     return probminhash.drop_near(docs)
 
 
@@ -41,5 +52,5 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Writes token files and reads the documents back from them."""
     import public_tokenizers
 
-    ship(spark)
+    prepare(spark)
     return wavelet.encode_documents(docs, public_tokenizers.path("word_bpe_49k.json")).withColumnRenamed("key", "doc_id")
