@@ -96,6 +96,75 @@ def undeltas(packed: bytes) -> np.ndarray:
     return np.cumsum(unpack(packed), dtype=np.uint64)
 
 
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of all elements of runs that start at ``starts``, run after run."""
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
+def binaries(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Consecutive parts of the bytes; more than 2 GB of them raise an error."""
+    ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), pa.int32())
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, ends.buffers()[1], pa.py_buffer(data)])
+
+
+def pack_runs(numbers: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """``pack`` of each run of numbers, at once for all, as a chunk has runs for thousands of ranges."""
+    if not len(sizes):
+        return pa.array([], pa.binary())
+    most = np.maximum.reduceat(numbers, np.cumsum(sizes) - sizes)
+    widths = 1 + sum((most >> np.uint64(8 * k) > 0).astype(np.int64) for k in range(1, 8))
+    lengths = 1 + widths * sizes
+    starts = np.cumsum(lengths) - lengths
+    out = np.empty(lengths.sum(), np.uint8)
+    out[starts] = widths
+    planes = numbers.astype("<u8").view(np.uint8).reshape(-1, 8)
+    at, step, width = spread(starts + 1, sizes), np.repeat(sizes, sizes), np.repeat(widths, sizes)
+    for k in range(widths.max()):
+        on = slice(None) if k < widths.min() else width > k
+        out[at[on]] = planes[on, k]
+        at += step
+    return binaries(out, lengths)
+
+
+def unpack_runs(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all packed runs, and how many each has."""
+    data, ends = text_bytes(column)
+    widths = data[ends[:-1]].astype(np.int64)
+    sizes = (np.diff(ends) - 1) // widths
+    out = np.zeros((sizes.sum(), 8), np.uint8)
+    at, step, width = spread(ends[:-1] + 1, sizes), np.repeat(sizes, sizes), np.repeat(widths, sizes)
+    for k in range(widths.max()):
+        on = slice(None) if k < widths.min() else width > k
+        out[on, k] = data[at[on]]
+        at += step
+    return out.reshape(-1).view("<u8"), sizes
+
+
+def deltas_of_runs(keys: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    gaps, starts = np.diff(keys, prepend=np.uint64(0)), np.cumsum(sizes) - sizes
+    gaps[starts] = keys[starts]
+    return pack_runs(gaps, sizes)
+
+
+def keys_of_runs(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    gaps, sizes = unpack_runs(column)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(gaps, dtype=np.uint64)])
+    return sums[1:] - np.repeat(sums[np.cumsum(sizes) - sizes], sizes), sizes
+
+
+def pack_bits(bits: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The bits of each run in bytes of its own."""
+    lengths = (sizes + 7) // 8
+    padded = np.zeros(8 * lengths.sum(), np.uint8)
+    padded[spread(8 * (np.cumsum(lengths) - lengths), sizes)] = bits
+    return binaries(np.packbits(padded), lengths)
+
+
+def unpack_bits(column: pa.Array, sizes: np.ndarray) -> np.ndarray:
+    data, ends = text_bytes(column)
+    return np.unpackbits(data[ends[0] : ends[-1]])[spread(8 * (ends[:-1] - ends[0]), sizes)]
+
+
 def write_chunks(docs: DataFrame, key: str, text: str, total: int) -> DataFrame:
     def chunks(batches):
         from pyspark import TaskContext
@@ -161,88 +230,99 @@ def opened(batch: pa.RecordBatch, scheme: Scheme) -> Iterator[tuple]:
         yield one, alive, scheme.read(data, ends, alive)
 
 
+def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct hashes; the order that sorts all, where each distinct one starts in it, and the number of each in it."""
+    order = np.argsort(hashes)
+    ordered = hashes[order]
+    new = np.concatenate([np.ones(min(len(hashes), 1), bool), ordered[1:] != ordered[:-1]])
+    starts = np.flatnonzero(new)
+    return ordered[starts], order, starts, np.cumsum(new) - 1
+
+
+def placed(order: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Sorted values back in the places they were sorted from."""
+    out = np.empty(len(order), values.dtype)
+    out[order] = values
+    return out
+
+
 def anchor_keys(scheme: Scheme, text, bits: int):
-    """Sorted distinct anchor hashes; per hash: in several documents here, indexed here; per anchor: its hash and place."""
-    places, docs, hashes, indexed = scheme.anchors(text)
-    keys, inverse = np.unique(mixed(hashes) >> np.uint64(64 - bits), return_inverse=True)
-    low, high = np.full(len(keys), LAST), np.full(len(keys), -1)
-    np.minimum.at(low, inverse, docs)
-    np.maximum.at(high, inverse, docs)
-    first = np.zeros(len(keys), bool)
-    first[inverse[indexed]] = True
-    return keys, low < high, first, inverse, places
+    """Sorted distinct anchor hashes; per hash: in several documents here, indexed here."""
+    _, docs, hashes, indexed = scheme.anchors(text)
+    keys, order, starts, _ = distinct(mixed(hashes) >> np.uint64(64 - bits))
+    if not len(keys):
+        return keys, np.zeros(0, bool), np.zeros(0, bool)
+    docs = docs[order]
+    several = np.minimum.reduceat(docs, starts) < np.maximum.reduceat(docs, starts)
+    return keys, several, np.maximum.reduceat(indexed[order], starts)
 
 
 def window_keys(scheme: Scheme, text, bits: int, answers):
-    keys, _, _, inverse, places = anchor_keys(scheme, text, bits)
-    shared = answered(answers, len(keys))[inverse]
+    """Sorted distinct window hashes and the first document of each; per window: number of its hash, place and document."""
+    places, _, hashes, _ = scheme.anchors(text)
+    keys, order, _, number = distinct(mixed(hashes) >> np.uint64(64 - bits))
+    shared = placed(order, answered(answers, len(keys))[number])
     at, docs, hashes = scheme.windows(text, places, shared)
-    keys, first, inverse = np.unique(mixed(hashes), return_index=True, return_inverse=True)
-    return keys, docs[first], inverse, at, docs
+    keys, order, starts, number = distinct(mixed(hashes))
+    first = np.minimum.reduceat(docs[order], starts) if len(keys) else docs[:0]
+    return keys, first, placed(order, number), at, docs
 
 
-def answered(answers: list[dict] | None, n: int) -> np.ndarray:
+def answered(answers: pa.ListScalar, n: int) -> np.ndarray:
     """The bits of all ranges, in their order."""
-    parts = [np.unpackbits(np.frombuffer(a["bits"], np.uint8), count=a["n"]) for a in sorted(answers or [], key=lambda a: a["part"])]
-    out = np.concatenate(parts).astype(bool) if parts else np.zeros(0, bool)
-    assert len(out) == n, (len(out), n)
-    return out
+    parts = answers.values
+    if parts is None:
+        assert n == 0, n
+        return np.zeros(0, bool)
+    order = np.argsort(parts.field("part").to_numpy())
+    sizes = parts.field("n").to_numpy()[order].astype(np.int64)
+    assert sizes.sum() == n, (sizes.sum(), n)
+    return unpack_bits(parts.field("bits").take(pa.array(order)), sizes).astype(bool)
 
 
-def cut(keys: np.ndarray, bits: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ranges of equal width that hold keys, and where each starts among the sorted keys."""
-    borders = [(i << bits) // parts for i in range(parts)]
-    at = np.searchsorted(keys, np.array(borders, np.uint64))
-    stops = np.append(at[1:], len(keys))
-    return np.flatnonzero(stops > at), np.append(at, len(keys))
+def cut(keys: np.ndarray, bits: int, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ranges of equal width that hold sorted keys, how many keys each has, and by how much a key exceeds the start of its range."""
+    borders = np.array([(i << bits) // parts for i in range(parts)], np.uint64)
+    sizes = np.diff(np.append(np.searchsorted(keys, borders), len(keys)))
+    used = np.flatnonzero(sizes)
+    return used, sizes[used], keys - np.repeat(borders, sizes)
 
 
 def ask_anchors(scheme: Scheme, bits: int, parts: int):
     def ask(batches):
         for batch in batches:
             for one, _, text in opened(batch, scheme):
-                keys, several, indexed, _, _ = anchor_keys(scheme, text, bits)
-                used, at = cut(keys, bits, parts)
+                keys, several, indexed = anchor_keys(scheme, text, bits)
+                used, sizes, rest = cut(keys, bits, parts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(used, pa.int64()), pa.array([one["chunk"].as_py()] * len(used), pa.int64()),
-                     pa.array([deltas(keys[at[p] : at[p + 1]]) for p in used], pa.binary()),
-                     pa.array([np.packbits(several[at[p] : at[p + 1]]).tobytes() for p in used], pa.binary()),
-                     pa.array([np.packbits(indexed[at[p] : at[p + 1]]).tobytes() for p in used], pa.binary())],
-                    ["part", "chunk", "keys", "several", "indexed"])
+                    [pa.array(used, pa.int64()), pa.array(np.full(len(used), one["chunk"].as_py())), deltas_of_runs(rest, sizes),
+                     pack_bits(several, sizes), pack_bits(indexed, sizes)], ["part", "chunk", "keys", "several", "indexed"])
 
     return ask
 
 
 def gathered(table: pa.Table):
     """Keys of all chunks of a range, sorted: order, where each distinct key starts, its number per entry, entries per chunk."""
-    keys = [undeltas(k) for k in table.column("keys").to_pylist()]
-    sizes = [len(k) for k in keys]
-    keys = np.concatenate(keys)
+    keys, sizes = keys_of_runs(table.column("keys"))
     order = np.argsort(keys, kind="stable")
     ordered = keys[order]
     new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
     return order, np.flatnonzero(new), np.cumsum(new) - 1, sizes
 
 
-def answers(table: pa.Table, bits: np.ndarray, sizes: list[int]) -> pa.Table:
-    stops = np.cumsum(sizes)
-    packed = [np.packbits(bits[stop - n : stop]).tobytes() for stop, n in zip(stops, sizes, strict=True)]
-    return pa.table({"chunk": table.column("chunk"), "part": table.column("part"), "n": pa.array(sizes, pa.int32()), "bits": pa.array(packed, pa.binary())})
+def answers(table: pa.Table, bits: np.ndarray, sizes: np.ndarray) -> pa.Table:
+    return pa.table({"chunk": table.column("chunk"), "part": table.column("part"), "n": pa.array(sizes, pa.int32()), "bits": pack_bits(bits, sizes)})
 
 
 ANSWERS = "chunk bigint, part bigint, n int, bits binary"
 
 
-def flags(column, sizes: list[int]) -> np.ndarray:
-    return np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=n) for b, n in zip(column.to_pylist(), sizes, strict=True)])
-
-
 def tell_anchors(table: pa.Table) -> pa.Table:
     """An anchor is shared if several documents have it and it is indexed in one of them."""
     order, starts, number, sizes = gathered(table)
     chunks = np.diff(np.append(starts, len(order)))
-    several = np.maximum.reduceat(flags(table.column("several"), sizes)[order], starts)
-    indexed = np.maximum.reduceat(flags(table.column("indexed"), sizes)[order], starts)
+    several = np.maximum.reduceat(unpack_bits(table.column("several"), sizes)[order], starts)
+    indexed = np.maximum.reduceat(unpack_bits(table.column("indexed"), sizes)[order], starts)
     shared = ((chunks > 1) | (several > 0)) & (indexed > 0)
     bits = np.zeros(len(order), bool)
     bits[order] = shared[number]
@@ -253,15 +333,13 @@ def ask_windows(scheme: Scheme, bits: int, parts: int):
     def ask(batches):
         for batch in batches:
             for one, _, text in opened(batch, scheme):
-                keys, docs, _, _, _ = window_keys(scheme, text, bits, one["shared"].as_py())
-                used, at = cut(keys, 64, parts)
+                keys, docs, _, _, _ = window_keys(scheme, text, bits, one["shared"])
+                used, sizes, rest = cut(keys, 64, parts)
                 ids = np.frombuffer(one["ids"].as_buffer(), np.int64)[docs]
-                least = [int(ids[at[p] : at[p + 1]].min()) for p in used]
+                least = np.minimum.reduceat(ids, np.cumsum(sizes) - sizes)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(used, pa.int64()), pa.array([one["chunk"].as_py()] * len(used), pa.int64()),
-                     pa.array([deltas(keys[at[p] : at[p + 1]]) for p in used], pa.binary()), pa.array(least, pa.int64()),
-                     pa.array([pack((ids[at[p] : at[p + 1]] - n).astype(np.uint64)) for p, n in zip(used, least, strict=True)], pa.binary())],
-                    ["part", "chunk", "keys", "least", "ids"])
+                    [pa.array(used, pa.int64()), pa.array(np.full(len(used), one["chunk"].as_py())), deltas_of_runs(rest, sizes),
+                     pa.array(least), pack_runs((ids - np.repeat(least, sizes)).astype(np.uint64), sizes)], ["part", "chunk", "keys", "least", "ids"])
 
     return ask
 
@@ -269,7 +347,7 @@ def ask_windows(scheme: Scheme, bits: int, parts: int):
 def tell_windows(table: pa.Table) -> pa.Table:
     """Whether a smaller document has the window in another chunk."""
     order, starts, number, sizes = gathered(table)
-    ids = np.concatenate([unpack(b).astype(np.int64) + n for b, n in zip(table.column("ids").to_pylist(), table.column("least").to_pylist(), strict=True)])
+    ids = unpack_runs(table.column("ids"))[0].astype(np.int64) + np.repeat(table.column("least").to_numpy(), sizes)
     first = np.minimum.reduceat(ids[order], starts)
     bits = np.zeros(len(order), bool)
     bits[order] = first[number] < ids[order]
@@ -280,8 +358,8 @@ def tell_rows(scheme: Scheme, bits: int):
     def tell(batches):
         for batch in batches:
             for one, alive, text in opened(batch, scheme):
-                keys, first, inverse, places, docs = window_keys(scheme, text, bits, one["shared"].as_py())
-                earlier = answered(one["earlier"].as_py(), len(keys))
+                keys, first, inverse, places, docs = window_keys(scheme, text, bits, one["shared"])
+                earlier = answered(one["earlier"], len(keys))
                 ids = np.frombuffer(one["ids"].as_buffer(), np.int64)
                 removed = places[earlier[inverse] | (ids[docs] > ids[first[inverse]])] if len(keys) else places
                 yield scheme.rows(text, [None if i == LAST else i for i in ids.tolist()], ~alive, removed)
@@ -312,8 +390,8 @@ def without_repeats(docs: DataFrame, scheme: Scheme, key: str = "doc_id", text:
 
 
 def covered(places: np.ndarray, length: int, n: int) -> np.ndarray:
-    """Which of n positions lie in a run of ``length`` from one of ``places``."""
+    """Which of n positions lie in a run of ``length`` from one of ``places``, which are distinct."""
     edge = np.zeros(n + 1, np.int32)
-    np.add.at(edge, places, 1)
-    np.add.at(edge, places + length, -1)
-    return np.cumsum(edge)[:n] > 0
+    edge[places] += 1
+    edge[places + length] -= 1
+    return np.cumsum(edge, out=edge)[:n] > 0
